@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import decontaminate, quality_rules, sharding
+from tallyframe.llm import decontaminate, packing, quality_rules, sharding
 from tallyframe.llm.work import Workspace
 
 
@@ -20,6 +21,12 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    pieces = packing.pack(docs, Workspace(spark, "op6"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find(docs, _table(spark, sf_dir, "benchmark"))
@@ -42,6 +49,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_quality_rules": op4_quality_rules,
+        "op6_packing": op6_packing,
         "op9_decontaminate": op9_decontaminate,
         "op10_sharding": op10_sharding,
     }
