@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import decontaminate, packing, quality_rules, sharding
+from tallyframe.llm import decontaminate, language_id, packing, quality_rules, sharding
 from tallyframe.llm.work import Workspace
 
 
@@ -16,6 +16,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    model = language_id.train(docs.where(~held_out).select("doc_id", "text", "lang"))
+    out = language_id.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+    return out.select("doc_id", "held_out", "lang_pred", "score", "accepted")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_rules.apply(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -48,6 +56,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_language_id": op1_language_id,
         "op4_quality_rules": op4_quality_rules,
         "op6_packing": op6_packing,
         "op9_decontaminate": op9_decontaminate,
