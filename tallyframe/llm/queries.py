@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import decontaminate, language_id, packing, quality_rules, sharding
+from tallyframe.llm import decontaminate, jaccard_join, language_id, packing, quality_rules, sharding
 from tallyframe.llm.work import Workspace
 
 
@@ -24,6 +24,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "lang_pred", "score", "accepted")
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link(_table(spark, sf_dir, "documents"), Workspace(spark, "op3"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_rules.apply(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -57,6 +61,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
+        "op3_jaccard_join": op3_jaccard_join,
         "op4_quality_rules": op4_quality_rules,
         "op6_packing": op6_packing,
         "op9_decontaminate": op9_decontaminate,
