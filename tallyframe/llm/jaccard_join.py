@@ -7,9 +7,9 @@ prefix. Where it is high (shared passages, boilerplate), the prefix is lengthene
 then share m or more of its shingles, the m - 1 most frequent ones need not be posted, and common passages fall out. A
 cheap and a costly document meet in a shingle that is rare by the cheap one's cost, which the costly one posts as well.
 
-Equal sets are one node. Links are made in two steps so that large groups of near copies don't become all pairs: first each
-posting list is verified against its smallest node, then pairs are formed only across the components found so far. Pairs
-are verified on the whole shingle sets.
+Equal sets are one node. Large groups of near copies don't become all pairs: first each posting list is verified against
+one node, the likeliest centre of a group; then against one node that the first round left outside; and at last pairs are
+formed only across the components found so far. Pairs are verified on the whole shingle sets.
 
 Defined results: null, empty or wordless texts have no shingles and are linked with nothing; a text of fewer than five
 words is one shingle; rows that repeat a document are linked with it; rows with the same key and different texts are
@@ -125,7 +125,29 @@ def _postings(signatures: DataFrame, nodes: DataFrame, t: Threshold, cheap: int)
     return by_node.select("node", "n", F.explode(posted).alias("x")).select(F.col("x.token").alias("token"), "node", "n")
 
 
-def link(docs: DataFrame, work: Workspace, *, percent: int = 75, cheap: int = 8, key: str = "doc_id", text: str = "text") -> DataFrame:
+def _rarest(texts: DataFrame, work: Workspace, t: Threshold) -> DataFrame:
+    """(token, node, n, size): the rarest shingles of whole sets, as many as make two similar sets meet in one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = list(shingle_sets(tb.as_strings(batch.column("text"))))
+            n = np.fromiter(map(len, sets), np.int64, len(sets))
+            flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
+            tokens = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(n), tokens], ["node", "n", "tokens"])
+
+    rows = work.save(texts.mapInArrow(run, "node long, n long, tokens array<long>"), "crowded").select("node", "n", F.explode("tokens").alias("token"))
+    shared = rows.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+    by_node = rows.join(shared, "token").groupBy("node").agg(F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "token"))).alias("tokens"))
+    short = F.col("n") - F.expr(f"({t.percent} * n + 99) div 100") + 1
+    posted = F.filter("tokens", lambda x, i: i < short - (F.col("n") - F.size("tokens")))
+    # These tokens meet only each other: their sign bit is turned.
+    posted = by_node.select("node", "n", F.explode(posted).alias("x")).select(F.bitwise_not("x.token").alias("token"), "node", "n")
+    posted = work.save(posted, "rarest")
+    return posted.join(posted.groupBy("token").agg(F.count("*").alias("size")).where("size > 1"), "token")
+
+
+def link(docs: DataFrame, work: Workspace, *, percent: int = 75, cheap: int = 8, crowd: int = 100, rounds: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
     """For each row: doc_id, n_shingles and component_id, the smallest key that its links reach."""
     t = Threshold(percent)
     docs = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
@@ -137,16 +159,22 @@ def link(docs: DataFrame, work: Workspace, *, percent: int = 75, cheap: int = 8,
     classes = work.save(classes, "classes")
     posted = _postings(signatures.where("n > 0").dropDuplicates(["node"]) if not plain else signatures.where("n > 0"), classes, t, cheap)
     lists = work.save(posted, "posted")
-    several = lists.groupBy("token").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most")
-    lists = work.save(lists.join(several.select("token", "least"), "token"), "lists")
+    several = lists.groupBy("token").agg(F.count("*").alias("size")).where("size > 1")
+    lists = work.save(lists.join(several, "token"), "several")
     work.drop("posted")
     work.free_shuffles()
     needed = lists.select("node").distinct()
     texts = work.save(docs.select("node", "text").join(needed, "node").dropDuplicates(["node"]) if not plain else docs.select("node", "text").join(needed, "node"), "texts")
     work.free_shuffles()
+    crowded = lists.where(F.col("size") > crowd).select("node").distinct()
+    lists = lists.where(F.col("size") <= crowd).unionAll(_rarest(texts.join(crowded, "node"), work, t))
+    # The node whose shingles most others share is the likeliest centre of a group of copies.
+    weights = lists.groupBy("node").agg(F.sum("size").alias("weight"))
+    lists = work.save(lists.drop("size").join(weights, "node"), "lists")
+    work.free_shuffles()
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
-        pairs = work.save(pairs.distinct(), f"{name}_pairs")
+        pairs = work.save(pairs, f"{name}_pairs")
         both = pairs.join(texts.select(F.col("node").alias("v"), F.col("text").alias("text_v")), "v").join(texts.select(F.col("node").alias("u"), F.col("text").alias("text_u")), "u")
         out = work.save(both.mapInArrow(_verify(t), "u long, v long"), f"{name}_links")
         work.free_shuffles()
@@ -155,18 +183,30 @@ def link(docs: DataFrame, work: Workspace, *, percent: int = 75, cheap: int = 8,
     def fits(a: str, b: str):
         return F.expr(f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b})")
 
-    centre = lists.where("node = least").select("token", F.col("n").alias("n_least")).dropDuplicates(["token"])
-    stars = verified(lists.where("node > least").join(centre, "token").where(fits("n", "n_least")).select(F.col("least").alias("u"), F.col("node").alias("v")), "star")
-    roots = connected(stars, work, "near")
-    labelled = lists.join(roots, "node", "left").select("token", "node", "n", F.coalesce("root", "node").alias("root"))
-    mixed = labelled.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("token")
-    left = work.save(labelled.join(mixed, "token"), "mixed")
+    best = F.max(F.struct("weight", "node", "n", "root")).alias("c")
+    roots, links, tried = None, None, None
+    left = lists.withColumn("root", F.col("node"))
+    for k in range(rounds):
+        if roots is None:
+            centre = left.groupBy("token").agg(best)
+        else:  # the best node outside the component of the list's best node
+            first = left.groupBy("token").agg(F.max(F.struct("weight", "node", "root"))["root"].alias("first"))
+            centre = left.join(first, "token").where("root <> first").groupBy("token").agg(best)
+        pairs = left.join(centre, "token").where("root <> c.root").where(fits("n", "c.n"))
+        pairs = pairs.select(F.least("node", "c.node").alias("u"), F.greatest("node", "c.node").alias("v")).distinct()
+        found = verified(pairs if tried is None else pairs.join(tried, ["u", "v"], "left_anti"), f"star{k}")
+        now = work.spark.read.parquet(work.path(f"star{k}_pairs"))
+        links, tried = (found, now) if links is None else (links.unionAll(found), tried.unionAll(now))
+        roots = connected(links, work, f"near{k}_")
+        labelled = lists.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        mixed = labelled.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("token")
+        left = work.save(labelled.join(mixed, "token"), f"mixed{k}")
+        work.free_shuffles()
     a, b = (left.select("token", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "root")]) for x in "ab")
     across = a.join(b, "token").where("node_a < node_b AND root_a <> root_b").where(fits("n_a", "n_b"))
     pairs = across.select(F.col("node_a").alias("u"), F.col("node_b").alias("v")).distinct()
-    tried = work.spark.read.parquet(work.path("star_pairs"))
     cross = verified(pairs.join(tried, ["u", "v"], "left_anti"), "cross")
-    roots = connected(stars.unionAll(cross), work, "all")
+    roots = connected(links.unionAll(cross), work, "all")
     linked = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = linked.groupBy("root").agg(F.min("first").alias("component_id"))
     found = work.save(linked.join(smallest, "root").select("d1", "d2", "component_id"), "found")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import decontaminate, jaccard_join, language_id, packing, quality_rules, sharding
+from tallyframe.llm import decontaminate, html_text, jaccard_join, language_id, packing, quality_rules, sharding
 from tallyframe.llm.work import Workspace
 
 
@@ -39,6 +39,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html_text.extract(_table(spark, sf_dir, "pages"), Workspace(spark, "op7"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find(docs, _table(spark, sf_dir, "benchmark"))
@@ -64,6 +69,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_jaccard_join": op3_jaccard_join,
         "op4_quality_rules": op4_quality_rules,
         "op6_packing": op6_packing,
+        "op7_html_extraction": op7_html_extraction,
         "op9_decontaminate": op9_decontaminate,
         "op10_sharding": op10_sharding,
     }
