@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import decontaminate, html_text, jaccard_join, language_id, packing, quality_rules, sharding
+from tallyframe.llm import decontaminate, html_text, jaccard_join, language_id, packing, quality_rules, sharding, warc
 from tallyframe.llm.work import Workspace
 
 
@@ -33,6 +33,13 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    work = Workspace(spark, "op5")
+    warc.write(_table(spark, sf_dir, "pages"), work.path("archive"))
+    records = warc.read(spark, work.path("archive"), payload="false").where(F.col("record_type").isin("response", "revisit"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     pieces = packing.pack(docs, Workspace(spark, "op6"), public_tokenizers.path("word_bpe_49k.json"))
@@ -68,6 +75,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_language_id": op1_language_id,
         "op3_jaccard_join": op3_jaccard_join,
         "op4_quality_rules": op4_quality_rules,
+        "op5_warc": op5_warc,
         "op6_packing": op6_packing,
         "op7_html_extraction": op7_html_extraction,
         "op9_decontaminate": op9_decontaminate,
