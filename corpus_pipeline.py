@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyframe.llm import quality_rules
+from tallyframe.llm import decontaminate, jaccard_join, language_id, packing, quality_rules
 from tallyframe.llm.work import Workspace
 
 
@@ -13,8 +15,43 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.apply(docs).where("kept").select(*docs.columns)
 
 
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that read as one of the languages that the stage's own labels teach."""
+    model = language_id.train(docs.select("doc_id", "text", "lang"))
+    return docs if model is None else language_id.predict(docs, model).where("accepted").select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents the one with the smallest key.
+
+    Rows whose doc_id is null or repeated can't be told apart by it; a table with such rows is numbered first.
+    """
+    work = Workspace(spark, "near-duplicates")
+    columns, key = docs.columns, "doc_id"
+    if not docs.groupBy("doc_id").count().where("doc_id IS NULL OR count > 1").isEmpty():
+        docs, key = work.save(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered"), "_row"
+    linked = jaccard_join.link(docs, work, key=key)
+    others = linked.where("doc_id <> component_id").select(F.col("doc_id").alias(key))
+    return docs.join(others, key, "left_anti").select(*columns)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which less than a twentieth is benchmark text."""
+    found = decontaminate.find(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.where(~decontaminate.contaminated()).select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences, with their token ids."""
+    return packing.pack(docs, Workspace(spark, "packing"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 STAGES = [
     ("quality rules", quality),
+    ("language ID", language),
+    ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", decontaminated),
+    ("packing", packed),
 ]
 
 #: Language models, joins and tokenizers are beyond SQL.

@@ -106,7 +106,7 @@ class Block:
 
 
 def _ask(n: int, slices: int):
-    def run(texts: pa.Table, answers: pa.Table | None = None) -> pa.Table:
+    def run(texts: pa.Table, answers: pa.Table | None) -> pa.Table:
         if not len(texts):
             return pa.table({"slice": pa.array([], pa.int32()), "block": pa.array([], pa.int32()), "keys": pa.array([], pa.binary()), "counts": pa.array([], pa.binary())})
         block = texts.column("block")[0].as_py()
@@ -123,6 +123,15 @@ def _ask(n: int, slices: int):
     return run
 
 
+def _first(ask):
+    """Order 1 knows no counts yet."""
+
+    def run(texts: pa.Table) -> pa.Table:
+        return ask(texts, None)
+
+    return run
+
+
 def _answer(n: int, least: int):
     """A slice of the count table of order n: adds up, and joins the totals to each block's n-grams."""
 
@@ -160,7 +169,10 @@ def score(docs: DataFrame, work: Workspace, *, orders: int = 3, least: int = 2,
     answers = None
     for n in range(1, orders + 1):
         grouped = texts.select("block", "text").groupBy("block")
-        asked = grouped.applyInArrow(_ask(n, slices), ROWS) if answers is None else grouped.cogroup(answers.groupBy("block")).applyInArrow(_ask(n, slices), ROWS)
+        if answers is None:
+            asked = grouped.applyInArrow(_first(_ask(n, slices)), ROWS)
+        else:
+            asked = grouped.cogroup(answers.groupBy("block")).applyInArrow(_ask(n, slices), ROWS)
         found = asked.groupBy("slice").applyInArrow(_answer(n, least), "n int, block int, keys binary, counts binary, total long")
         found = work.save(found, f"counts{n}")
         answers = found if answers is None else answers.unionAll(found)

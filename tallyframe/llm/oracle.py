@@ -17,7 +17,7 @@ OP4 = f"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t,
          regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
   FROM documents),
 e AS (SELECT doc_id, unnest(w) AS x, unnest(range(len(w))) AS i FROM d),
 g AS (SELECT doc_id, i, x, lead(x, 1) OVER p AS y, lead(x, 2) OVER p AS z FROM e WINDOW p AS (PARTITION BY doc_id ORDER BY i)),
@@ -30,9 +30,9 @@ c AS (
          len(lines)::BIGINT AS n_lines,
          (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
          coalesce(r.n, 0)::BIGINT AS n_repeat_words,
-         len(list_filter(w, x -> lower(x) IN ({_STOP})))::BIGINT AS n_stop_words,
-         len(list_filter(lines, x -> regexp_matches(x, '^[\\x20\\x09-\\x0D]*[-*•]')))::BIGINT AS n_bullet_lines,
-         len(list_filter(lines, x -> regexp_matches(x, '(\\.\\.\\.|…)[\\x20\\x09-\\x0D]*$')))::BIGINT AS n_ellipsis_lines
+         len(list_filter(w, lambda x: lower(x) IN ({_STOP})))::BIGINT AS n_stop_words,
+         len(list_filter(lines, lambda x: regexp_matches(x, '^[\\x20\\x09-\\x0D]*[-*•]')))::BIGINT AS n_bullet_lines,
+         len(list_filter(lines, lambda x: regexp_matches(x, '(\\.\\.\\.|…)[\\x20\\x09-\\x0D]*$')))::BIGINT AS n_ellipsis_lines
   FROM d LEFT JOIN r USING (doc_id))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
@@ -40,5 +40,16 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM c"""
 
 
+OP2 = r"""
+WITH d AS (
+  SELECT source, coalesce(lang, 'und') AS lang, coalesce(text, '') AS t FROM documents
+  WHERE doc_id IS NULL OR doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1 AND doc_id IS NOT NULL)),
+c AS (
+  SELECT source, lang, 'words-1' AS tokenizer, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+'))::BIGINT AS n FROM d
+  UNION ALL
+  SELECT source, lang, 'words-2', (len(regexp_extract_all(t, '[^\x00-/:-@\[-`{-\x7F]+')) + len(regexp_replace(t, '[^!-/:-@\[-`{-~]', '', 'g')))::BIGINT FROM d)
+SELECT source, lang, tokenizer, count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_tokens FROM c GROUP BY ALL""".replace("\\\\", "\\")
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_quality_rules": OP4}
+    return {"op2_token_counts": OP2, "op4_quality_rules": OP4}

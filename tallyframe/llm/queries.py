@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import decontaminate, html_text, jaccard_join, language_id, packing, quality_rules, sharding, warc
+from tallyframe.llm import backoff, decontaminate, html_text, jaccard_join, language_id, packing, quality_rules, sharding, token_counts, warc
 from tallyframe.llm.work import Workspace
 
 
@@ -24,6 +24,22 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "lang_pred", "score", "accepted")
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after three batches: all documents come in, documents without a language get one, toxic ones go."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    rollup = token_counts.TokenRollup(spark, Workspace(spark, "op2").path("rollup"))
+    versions = sorted(token_counts.TOKENIZERS)
+    toxic = _table(spark, sf_dir, "labels").where("toxic = 1").select("doc_id").distinct()
+    gone = toxic.withColumns({"op": F.lit("delete"), "source": F.lit(None).cast("string"), "lang": F.lit(None).cast("string"), "n_tokens": F.lit(None).cast("long")})
+    gone = gone.withColumn("tokenizer", F.explode(F.array(*map(F.lit, versions))))
+    rollup.commit("load", token_counts.count(docs, *versions).withColumn("op", F.lit("insert")))
+    named = docs.where("lang IS NULL").withColumn("lang", F.lit("und"))
+    rollup.commit("name", token_counts.count(named, *versions).withColumn("op", F.lit("revise")))
+    rollup.commit("toxic", gone)
+    rollup.commit("toxic", gone)  # a second commit of a batch changes nothing
+    return rollup.totals()
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link(_table(spark, sf_dir, "documents"), Workspace(spark, "op3"))
 
@@ -51,6 +67,10 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff.score(_table(spark, sf_dir, "documents"), Workspace(spark, "op8"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find(docs, _table(spark, sf_dir, "benchmark"))
@@ -73,11 +93,13 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
+        "op2_token_counts": op2_token_counts,
         "op3_jaccard_join": op3_jaccard_join,
         "op4_quality_rules": op4_quality_rules,
         "op5_warc": op5_warc,
         "op6_packing": op6_packing,
         "op7_html_extraction": op7_html_extraction,
+        "op8_lm_scoring": op8_lm_scoring,
         "op9_decontaminate": op9_decontaminate,
         "op10_sharding": op10_sharding,
     }

@@ -43,9 +43,10 @@ def words_v2(text: Column) -> Column:
 TOKENIZERS: Mapping[str, object] = {"words-1": words_v1, "words-2": words_v2}
 
 
-def count(docs: DataFrame, tokenizer: str, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, source, lang, tokenizer, n_tokens of each document."""
-    return docs.select(F.col(key).alias("doc_id"), "source", "lang", F.lit(tokenizer).alias("tokenizer"), TOKENIZERS[tokenizer](F.col(text)).alias("n_tokens"))
+def count(docs: DataFrame, *tokenizers: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, source, lang, tokenizer, n_tokens of each document under each tokenizer; texts are read once."""
+    counts = F.array(*[F.struct(F.lit(t).alias("tokenizer"), TOKENIZERS[t](F.col(text)).alias("n_tokens")) for t in tokenizers])
+    return docs.select(F.col(key).alias("doc_id"), "source", "lang", F.inline(counts))
 
 
 class TokenRollup:
@@ -90,12 +91,18 @@ class TokenRollup:
             return False
         if not self._exists(f"{self.path}/ledger/batch={batch}"):
             changes = changes.select("op", "doc_id", *GROUP, "n_tokens").distinct()
+            done = changes.where("op <> 'delete'").select("doc_id", *GROUP, F.lit(1).cast("long").alias("docs"), F.col("n_tokens").alias("tokens"))
+            if not self._exists(f"{self.path}/ledger"):
+                self._publish(done, "ledger", batch)  # the first batch undoes nothing
+                return self._roll(batch)
             held = self.ledger(without=batch)
             held = held.groupBy("doc_id", *GROUP).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).where("docs <> 0 OR tokens <> 0")
             named = changes.select("doc_id", "tokenizer").distinct()
             undone = held.join(named, ["doc_id", "tokenizer"]).select("doc_id", *GROUP, (-F.col("docs")).alias("docs"), (-F.col("tokens")).alias("tokens"))
-            done = changes.where("op <> 'delete'").select("doc_id", *GROUP, F.lit(1).cast("long").alias("docs"), F.col("n_tokens").alias("tokens"))
             self._publish(undone.unionAll(done), "ledger", batch)
+        return self._roll(batch)
+
+    def _roll(self, batch: str) -> bool:
         rows = self.ledger().where(F.col("batch") == batch)
         self._publish(rows.groupBy(*GROUP).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")), "rollup", batch)
         return True
