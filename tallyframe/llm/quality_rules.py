@@ -83,19 +83,20 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         lambda x, k: ((after(k) <= x.bitwiseOR(PLACE)) & (full(after(k)) == full(x))) | ((before(k).bitwiseOR(PLACE) >= x) & (full(before(k)) == full(x))),
     )
     covered = F.array_distinct(F.flatten(F.transform(twice, lambda x: F.array(x.bitwiseAND(PLACE), x.bitwiseAND(PLACE) + 1, x.bitwiseAND(PLACE) + 2))))
-    return out.withColumns(
-        {
-            "n_words": _sized(F.col("_words")),
-            "word_chars": F.length(F.array_join("_words", "")).cast("long"),
-            "n_symbols": (F.length("_text") - F.length(F.regexp_replace("_text", f"[{SYMBOLS}]", ""))).cast("long"),
-            "n_lines": _sized(F.col("_lines")),
-            "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-            "n_repeat_words": _sized(covered),
-            "n_stop_words": _sized(F.filter("_words", lambda w: F.lower(w).isin(*STOP_WORDS))),
-            "n_bullet_lines": _sized(F.filter("_lines", lambda s: s.rlike(BULLET))),
-            "n_ellipsis_lines": _sized(F.filter("_lines", lambda s: s.rlike(ELLIPSIS))),
-        }
-    ).drop("_text", "_words", "_lines", "_hashed", "_grams", "_sorted")
+    counts = {
+        "n_words": _sized(F.col("_words")),
+        "word_chars": F.length(F.array_join("_words", "")).cast("long"),
+        "n_symbols": (F.length("_text") - F.length(F.regexp_replace("_text", f"[{SYMBOLS}]", ""))).cast("long"),
+        "n_lines": _sized(F.col("_lines")),
+        "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
+        "n_repeat_words": _sized(covered),
+        "n_stop_words": _sized(F.filter("_words", lambda w: F.lower(w).isin(*STOP_WORDS))),
+        "n_bullet_lines": _sized(F.filter("_lines", lambda s: s.rlike(BULLET))),
+        "n_ellipsis_lines": _sized(F.filter("_lines", lambda s: s.rlike(ELLIPSIS))),
+    }
+    # A generator of one row: a filter on the counts stays above it and is not rewritten into the arrays they come from.
+    once = F.inline(F.array(F.struct(*[c.alias(name) for name, c in counts.items()])))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns if c not in counts], once)
 
 
 def base_failed() -> Column:
