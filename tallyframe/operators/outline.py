@@ -8,13 +8,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_SHEET = Window.partitionBy("source_file").orderBy("r")
-_SO_FAR = _SHEET.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+def _sheet():
+    return Window.partitionBy("source_file").orderBy("r")
 
 
 def parent_leaf(rows: DataFrame) -> DataFrame:
     """Adds is_parent (the next row is deeper) and is_leaf; a sheet's last row is a leaf."""
-    deeper = F.coalesce(F.lead("sub_level").over(_SHEET) > F.col("sub_level"), F.lit(False))
+    deeper = F.coalesce(F.lead("sub_level").over(_sheet()) > F.col("sub_level"), F.lit(False))
     return rows.withColumn("is_parent", deeper).withColumn("is_leaf", ~F.col("is_parent"))
 
 
@@ -25,7 +26,7 @@ def lineage(rows: DataFrame, depth: int) -> DataFrame:
     """
 
     def latest(level: int) -> Column:
-        return F.last(F.when(F.col("sub_level") == level, F.struct("r", "label")), ignorenulls=True).over(_SO_FAR)
+        return F.last(F.when(F.col("sub_level") == level, F.struct("r", "label")), ignorenulls=True).over(_sheet().rowsBetween(Window.unboundedPreceding, Window.currentRow))
 
     out = rows.withColumns({f"_at{k}": latest(k) for k in range(depth)})
     ancestors = []
