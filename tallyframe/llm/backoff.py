@@ -16,6 +16,7 @@ scored each; an empty table gives no rows. Words are ``[^\\x20\\x09-\\x0D]+`` wi
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +29,8 @@ from tallyframe.llm import textbytes as tb
 from tallyframe.llm.work import Workspace
 
 BACKOFF = 0.4
+#: Above so many blocks, a bucket of the table holds several.
+MOST_BUCKETS = 20_000
 ROWS = "slice int, block int, keys binary, counts binary"
 
 
@@ -160,12 +163,20 @@ def _answer(n: int, least: int):
     return run
 
 
+def _laid_out(texts: DataFrame, work: Workspace, buckets: int) -> DataFrame:
+    """The texts as a table bucketed by block: they are shuffled here once, and the rounds that read it move n-grams alone."""
+    name = f"tally_blocks_{uuid.uuid4().hex}"
+    texts.repartition(buckets, "block").write.bucketBy(buckets, "block").option("path", work.path("blocks")).saveAsTable(name)
+    work.free_shuffles()
+    return work.spark.table(name)
+
+
 def score(docs: DataFrame, work: Workspace, *, orders: int = 3, least: int = 2, key: str = "doc_id", text: str = "text", block_bytes: int = 8 << 20, slice_words: int = 1_000_000) -> DataFrame:
     """doc_id, n_words, log_score and mean_log_score of every document."""
     docs = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks, slices = max(16, -(-size // block_bytes)), max(16, size // 5 // slice_words)
-    texts = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
+    texts = _laid_out(docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")), work, min(blocks, MOST_BUCKETS))
     answers = None
     for n in range(1, orders + 1):
         grouped = texts.select("block", "text").groupBy("block")
