@@ -5,7 +5,8 @@ score under the context without its first word; a single word has count(w) / wor
 logarithms over its words.
 
 Documents are dealt to blocks of bounded size. For each order a block explodes its n-grams, adds up equal ones and sends
-them to count tables that are partitioned by hash; the tables join their totals back to each block that asked. An n-gram
+them to count tables that are partitioned by hash; the tables send the totals
+back to each block that asked, in the order in which it asked. An n-gram
 can only occur twice if both n-grams of the order below do, so a block asks for those alone and most rare ones never
 travel. At last each block sums its documents' scores. A frequent n-gram costs one row a block, whatever its count. Sums,
 counts and blocks grow with the table; no task holds more than a block or a slice of a count table.
@@ -37,7 +38,8 @@ ROWS = "slice int, block int, keys binary, counts binary"
 class Block:
     """The words of a block's documents and the counts that it knows so far, by order and place."""
 
-    def __init__(self, texts: pa.Table, answers: pa.Table | None):
+    def __init__(self, texts: pa.Table, answers: pa.Table | None, slices: int):
+        self.slices = slices
         parts, ends, base = [], [], 0
         column = tb.as_strings(texts.column("text"))
         for lo, hi in tb.blocks(column):
@@ -71,28 +73,31 @@ class Block:
             places[-1:] = False
         return places
 
-    def _learn(self, n: int, answers: pa.Table) -> None:
-        keys = np.concatenate([np.frombuffer(x, "<u8") for x in answers.column("keys").to_pylist()])
-        counts = np.concatenate([np.frombuffer(x, "<i8") for x in answers.column("counts").to_pylist()])
-        order = np.argsort(keys)
-        keys, counts = keys[order], counts[order]
-        self.counts[n] = np.zeros(len(self.words), np.int64)
-        places = np.flatnonzero(self.asked(n))
-        if len(keys) and len(places):
-            g = self.grams(n)[places]
-            at = np.minimum(np.searchsorted(keys, g), len(keys) - 1)
-            self.counts[n][places] = np.where(keys[at] == g, counts[at], 0)
-
-    def requests(self, n: int, slices: int) -> Iterator[tuple[int, bytes, bytes]]:
-        keys, counts = np.unique(self.grams(n)[self.asked(n)], return_counts=True)
-        owner = (keys % np.uint64(slices)).astype(np.int64)
+    def _table(self, n: int) -> tuple[np.ndarray, ...]:
+        """Distinct n-grams asked for, by slice and hash: keys, each asking place's key, times, bounds of slices."""
+        keys, at, times = np.unique(self.grams(n)[self.asked(n)], return_inverse=True, return_counts=True)
+        owner = (keys % np.uint64(self.slices)).astype(np.int64)
         order = np.argsort(owner, kind="stable")
-        bounds = np.searchsorted(owner[order], np.arange(slices + 1))
-        keys, counts = keys[order], counts[order]
-        for s in range(slices):
+        rank = np.empty(len(keys), np.int64)
+        rank[order] = np.arange(len(keys))
+        return keys[order], rank[at], times[order], np.searchsorted(owner[order], np.arange(self.slices + 1))
+
+    def _learn(self, n: int, answers: pa.Table) -> None:
+        """Answers hold counts alone: a slice's are in the order in which the block asked, which it can tell again."""
+        keys, at, _, bounds = self._table(n)
+        counts = np.zeros(len(keys), np.int64)
+        for s, found in zip(answers.column("slice").to_pylist(), answers.column("counts").to_pylist(), strict=True):
+            counts[bounds[s] : bounds[s + 1]] = np.frombuffer(found, "<i8")
+        learned = np.zeros(len(self.words), np.int64)
+        learned[self.asked(n)] = counts[at]
+        self.counts[n] = learned
+
+    def requests(self, n: int) -> Iterator[tuple[int, bytes, bytes]]:
+        keys, _, times, bounds = self._table(n)
+        for s in range(self.slices):
             a, b = bounds[s], bounds[s + 1]
             if a < b:
-                yield s, keys[a:b].astype("<u8").tobytes(), counts[a:b].astype("<u4").tobytes()
+                yield s, keys[a:b].astype("<u8").tobytes(), times[a:b].astype("<u4").tobytes()
 
     def scores(self, orders: int, total: int) -> np.ndarray:
         """The sum of each document's logarithms."""
@@ -113,7 +118,7 @@ def _ask(n: int, slices: int):
         if not len(texts):
             return pa.table({"slice": pa.array([], pa.int32()), "block": pa.array([], pa.int32()), "keys": pa.array([], pa.binary()), "counts": pa.array([], pa.binary())})
         block = texts.column("block")[0].as_py()
-        rows = list(Block(texts, answers).requests(n, slices))
+        rows = list(Block(texts, answers, slices).requests(n))
         return pa.table(
             {
                 "slice": pa.array([r[0] for r in rows], pa.int32()),
@@ -142,19 +147,17 @@ def _answer(n: int, least: int):
         parts = [np.frombuffer(x, "<u8") for x in asked.column("keys").to_pylist()]
         keys, at = np.unique(np.concatenate(parts), return_inverse=True)
         totals = np.bincount(at, np.concatenate([np.frombuffer(x, "<u4") for x in asked.column("counts").to_pylist()])).astype(np.int64)
-        sums, out_keys, out_counts, base = [], [], [], 0
+        sums, out_counts, base = [], [], 0
         for k, part in enumerate(parts):
             count = totals[at[base : base + len(part)]]
             base += len(part)
-            kept = count >= least
-            out_keys.append(part[kept].tobytes())
-            out_counts.append(count[kept].astype("<i8").tobytes())
+            out_counts.append(np.where(count >= least, count, 0).astype("<i8").tobytes())
             sums.append(int(totals.sum()) if k == 0 else 0)
         return pa.table(
             {
                 "n": pa.array([n] * len(parts), pa.int32()),
+                "slice": asked.column("slice"),
                 "block": asked.column("block"),
-                "keys": pa.array(out_keys, pa.binary()),
                 "counts": pa.array(out_counts, pa.binary()),
                 "total": pa.array(sums, pa.int64()),
             }
@@ -184,7 +187,7 @@ def score(docs: DataFrame, work: Workspace, *, orders: int = 3, least: int = 2,
             asked = grouped.applyInArrow(_first(_ask(n, slices)), ROWS)
         else:
             asked = grouped.cogroup(answers.groupBy("block")).applyInArrow(_ask(n, slices), ROWS)
-        found = asked.groupBy("slice").applyInArrow(_answer(n, least), "n int, block int, keys binary, counts binary, total long")
+        found = asked.groupBy("slice").applyInArrow(_answer(n, least), "n int, slice int, block int, counts binary, total long")
         found = work.save(found, f"counts{n}")
         answers = found if answers is None else answers.unionAll(found)
         work.free_shuffles()
@@ -194,7 +197,7 @@ def score(docs: DataFrame, work: Workspace, *, orders: int = 3, least: int = 2,
     def run(mine: pa.Table, known: pa.Table) -> pa.Table:
         if not len(mine):
             return pa.table({"doc_id": mine.column("doc_id"), "n_words": pa.array([], pa.int64()), "log_score": pa.array([], pa.float64())})
-        block = Block(mine, known)
+        block = Block(mine, known, slices)
         return pa.table({"doc_id": mine.column("doc_id"), "n_words": pa.array(block.sizes), "log_score": pa.array(block.scores(orders, total))})
 
     out = texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
