@@ -6,14 +6,19 @@ with digits folded. Over the host's distinct pages a node has
 - content importance: 1 minus the mean entropy of its texts over the pages; a text on one page has entropy 0, one on all
   m pages 1.
 A branch's importance mixes its own with its children's mean, with the content's share growing towards the leaves. Names
-that state a purpose (nav, footer, "advert", main, ...) fix a branch's importance at 0 or 1. Branches below the threshold
-are removed from every page; if a page marks its main part, what stands outside of it goes too.
+that state a purpose (nav, footer, "advert", ...) fix a branch's importance at 0. A branch is removed from every page if
+it and all that it holds are below the threshold.
+
+A main part that a page marks (<article>, <main>) is a prior and no override. Inside, the mean is over distinct texts and
+not over occurrences, so that near copies of a page don't make its paragraphs boilerplate, and the tree never takes a
+page's whole main part. Outside, a text stays only if its node's content importance times ``outside`` reaches the threshold.
 
 Tree statistics are sums of small rows (host, node, hash), so a host with a third of all pages is summed before it moves.
 A host's tree meets its pages by a broadcast when all trees together are below a checked size, and by a salted join beyond.
 
 Defined results: null or empty html gives an empty text; pages without a host share the host ''; repeated pages count once
-in the tree and are extracted each; text of nodes seen on fewer than three pages of a host is kept unless named.
+in the tree and are extracted each; of nodes seen on fewer than three pages of a host the tree knows nothing: their text is
+kept unless named or outside of a marked main part.
 """
 
 from __future__ import annotations
@@ -24,7 +29,7 @@ from collections.abc import Iterator
 from hashlib import blake2b
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -54,7 +59,9 @@ REMOVED_NAMES = {
 REMOVED_ROLES = {"alert", "alertdialog", "banner", "complementary", "contentinfo", "dialog", "form", "menu", "navigation", "search"}
 MAIN_TAGS = {"main", "article"}
 
-KEPT, REMOVED, OPEN = 1, 0, -1
+REMOVED, OPEN = 0, -1
+#: Kinds of observations: a text outside of a main part, a child sequence, a text inside of one, a page with a text.
+TEXT, SEQUENCE, INSIDE, PRESENT = range(4)
 _GAP = re.compile(r"\s+")
 _NAME = re.compile(r"[A-Za-z]+")
 _DIGITS = re.compile(r"\d+")
@@ -74,12 +81,13 @@ class _Node:
 class Page(html.parser.HTMLParser):
     """Blocks of text with the style path that owns them, and the child sequences of each path.
 
-    removed: paths whose branches are left out besides those with telling names.
+    removed: paths whose branches are left out besides those with telling names. cut: whether a main part lost text to them.
     """
 
     def __init__(self, removed: frozenset[str] = frozenset()):
         super().__init__(convert_charrefs=True)
         self.removed = removed
+        self.cut = False
         self.stack = [_Node("", "", OPEN, False)]
         self.blocks: list[tuple[str, str, bool]] = []  # path, text, inside a marked main part
         self.sequences: list[tuple[str, str]] = []
@@ -96,7 +104,7 @@ class Page(html.parser.HTMLParser):
         node = self.stack.pop()
         if node.tag in BLOCK or node.state == REMOVED:
             self._flush()
-        if node.state == OPEN and node.children:
+        if node.state != REMOVED and node.children:
             self.sequences.append((node.path, " ".join(dict.fromkeys(node.children))))
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -131,11 +139,11 @@ class Page(html.parser.HTMLParser):
             or "hidden" in named
             or named.get("aria-hidden") == "true"
             or (tag == "header" and not above.main)
-            or (path in self.removed and not main)
         ) and tag not in ("html", "body"):
             state = REMOVED
-        elif main and state == OPEN:
-            state = KEPT
+        elif state != REMOVED and path in self.removed:
+            state = REMOVED
+            self.cut |= main
         if tag in BLOCK:
             above.children.append(style)
         if state == REMOVED and above.state != REMOVED:
@@ -181,31 +189,36 @@ def parse(source: str | None, removed: frozenset[str] = frozenset()) -> Page:
     return page.finish()
 
 
-def main_text(source: str | None, removed: frozenset[str] = frozenset()) -> str:
-    blocks = parse(source, removed).blocks
+def main_text(source: str | None, removed: frozenset[str] = frozenset(), trusted: frozenset[str] = frozenset()) -> str:
+    """trusted: paths whose texts stay outside of a marked main part."""
+    page = parse(source, removed)
+    if page.cut and not any(main for _, _, main in page.blocks):
+        page = parse(source)  # the whole main part is never taken
+    blocks = page.blocks
     if any(main for _, _, main in blocks):
-        blocks = [b for b in blocks if b[2]]
+        blocks = [b for b in blocks if b[2] or b[0] in trusted]
     return "\n\n".join(text for _, text, _ in blocks)
 
 
 def _observe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, node, parent, kind, value): a text (kind 0) or a child sequence (kind 1) that a page has at a node."""
+    """(host, node, kind, value): what a page has at a node."""
     for batch in batches:
         rows: dict[tuple, None] = {}
         out: list[tuple] = []
         for host, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
             page = parse(source)
-            rows = dict.fromkeys((host, p, 0, _hash(t)) for p, t, main in page.blocks if not main)
-            rows |= dict.fromkeys((host, p, 1, _hash(s)) for p, s in page.sequences)
+            rows = dict.fromkeys((host, p, INSIDE if main else TEXT, _hash(t)) for p, t, main in page.blocks)
+            rows |= dict.fromkeys((host, p, PRESENT, 0) for p, _, _ in page.blocks)
+            rows |= dict.fromkeys((host, p, SEQUENCE, _hash(s)) for p, s in page.sequences)
             out += rows
         columns = list(zip(*out, strict=True)) or [[], [], [], []]
         types = (pa.string(), pa.string(), pa.int32(), pa.int64())
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["host", "path", "kind", "value"])
 
 
-def _low(threshold: float, decay: float):
+def _low(threshold: float, decay: float, outside: float):
     def run(host: pa.Table) -> pa.Table:
-        """The highest branches of one host's tree whose importance is below the threshold."""
+        """The highest branches of one host's tree that are below the threshold throughout, and the nodes trusted outside of main parts."""
         own = {r["path"]: r for r in host.to_pylist()}
         below: dict[str, list[str]] = {}
         for path in own:
@@ -223,55 +236,66 @@ def _low(threshold: float, decay: float):
                 importance[path] = (1 - share) * mean + share * shape if content is not None or shape == 0 else max(mean, shape)
             else:
                 importance[path] = content if content is not None else 1.0
-        low = [p for p, i in importance.items() if i < threshold and own[p]["pages"] >= 3 and importance.get(p.rpartition("/")[0], 1.0) >= threshold]
+        low: set[str] = set()
+        for path in importance:  # children first
+            if importance[path] < threshold and own[path]["pages"] >= 3 and low.issuperset(below.get(path, ())):
+                low.add(path)
+        removed = sorted(p for p in low if p.rpartition("/")[0] not in low)
+        trusted = sorted(p for p, r in own.items() if r["content"] is not None and not r["inside"] and r["pages"] >= 3 and outside * r["content"] >= threshold)
         name = host.column("host")[0].as_py()
-        return pa.table({"host": pa.array([name], pa.string()), "removed": pa.array([sorted(low)], pa.list_(pa.string()))})
+        return pa.table({"host": pa.array([name], pa.string()), "removed": pa.array([removed], pa.list_(pa.string())), "trusted": pa.array([trusted], pa.list_(pa.string()))})
 
     return run
 
 
-def style_tree(pages: DataFrame, *, threshold: float = 0.2, decay: float = 0.9) -> DataFrame:
-    """(host, removed): for each host the branches to remove. ``pages`` has host and html."""
+def style_tree(pages: DataFrame, *, threshold: float = 0.2, decay: float = 0.9, outside: float = 0.5) -> DataFrame:
+    """(host, removed, trusted): for each host the branches to remove and the nodes to keep outside of main parts.
+
+    ``pages`` has host and html.
+    """
     pages = pages.where("html IS NOT NULL AND html <> ''")
     seen = pages.mapInArrow(_observe, "host string, path string, kind int, value long").groupBy("host", "path", "kind", "value").agg(F.count("*").alias("n"))
+    weight = F.when(F.col("kind") == TEXT, F.col("n")).when(F.col("kind") == INSIDE, 1)
+    shapes = F.when(F.col("kind") == SEQUENCE, F.col("n"))
     kinds = seen.groupBy("host", "path").agg(
-        F.sum(F.when(F.col("kind") == 0, F.col("n"))).alias("texts"),
-        F.sum(F.when(F.col("kind") == 0, F.col("n") * F.log("n"))).alias("text_logs"),
-        F.sum(F.when(F.col("kind") == 1, F.col("n"))).alias("shapes"),
-        F.sum(F.when(F.col("kind") == 1, F.col("n") * F.log("n"))).alias("shape_logs"),
-        F.max("n").alias("m"),
+        F.sum(weight).alias("texts"),
+        F.sum(weight * F.log("n")).alias("text_logs"),
+        F.sum(shapes).alias("shapes"),
+        F.sum(shapes * F.log("n")).alias("shape_logs"),
+        F.greatest(F.coalesce(F.sum(shapes), F.lit(0)), F.coalesce(F.max(F.when(F.col("kind") == PRESENT, F.col("n"))), F.lit(0))).alias("pages"),
+        F.max((F.col("kind") == INSIDE)).alias("inside"),
     )
-    hosts = seen.where("kind = 1").groupBy("host", "path").agg(F.sum("n").alias("h")).groupBy("host").agg(F.max("h").alias("host_pages"))
-    log_m = F.log(F.greatest(F.col("host_pages"), F.lit(2)))
-    nodes = kinds.join(hosts, "host").select(
+    log_m = F.log(F.greatest(F.max("pages").over(Window.partitionBy("host")), F.lit(2)))
+    nodes = kinds.select(
         "host",
         "path",
-        F.greatest(F.coalesce("shapes", F.lit(0)), F.col("m")).alias("pages"),
+        "pages",
+        "inside",
         (1 - F.col("text_logs") / F.col("texts") / log_m).alias("content"),
         ((F.log("shapes") - F.col("shape_logs") / F.col("shapes")) / log_m).alias("presentation"),
     )
-    return nodes.groupBy("host").applyInArrow(_low(threshold, decay), "host string, removed array<string>")
+    return nodes.groupBy("host").applyInArrow(_low(threshold, decay, outside), "host string, removed array<string>, trusted array<string>")
 
 
 def extract(pages: DataFrame, work: Workspace, *, url: str = "url", source: str = "html", broadcast_bytes: int = 32 << 20, salts: int = 32) -> DataFrame:
     """``pages`` with text, the main text of each page, in place of its html."""
-    pages = pages.drop("text", "host", "removed").withColumn("host", F.coalesce(F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)), F.lit("")))
+    pages = pages.drop("text", "host", "removed", "trusted").withColumn("host", F.coalesce(F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)), F.lit("")))
     once = pages.select("host", F.col(source).alias("html"))
-    tree = work.save(style_tree(once).where("size(removed) > 0"), "tree")
-    size = tree.agg(F.sum(F.length("host") + F.aggregate("removed", F.lit(0), lambda s, x: s + F.length(x)) + 64)).first()[0] or 0
+    tree = work.save(style_tree(once).where("size(removed) + size(trusted) > 0"), "tree")
+    size = tree.agg(F.sum(F.length("host") + F.aggregate(F.concat("removed", "trusted"), F.lit(0), lambda s, x: s + F.length(x)) + 64)).first()[0] or 0
     if size <= broadcast_bytes:
         joined = pages.join(F.broadcast(tree), "host", "left")
     else:
         tree = tree.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         joined = pages.withColumn("_salt", F.pmod(F.xxhash64(source), F.lit(salts)).cast("int")).join(tree, ["host", "_salt"], "left").drop("_salt")
-    joined = joined.select(*[c for c in pages.columns if c not in ("host", source)], F.col(source).alias("_html"), "removed")
-    schema = StructType([*[f for f in joined.schema if f.name not in ("_html", "removed")], StructField("text", StringType())])
+    joined = joined.select(*[c for c in pages.columns if c not in ("host", source)], F.col(source).alias("_html"), "removed", "trusted")
+    schema = StructType([*[f for f in joined.schema if f.name not in ("_html", "removed", "trusted")], StructField("text", StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            removed = batch.column("removed").to_pylist()
-            texts = [main_text(h, frozenset(r or ())) for h, r in zip(batch.column("_html").to_pylist(), removed, strict=True)]
-            keep = [n for n in batch.schema.names if n not in ("_html", "removed")]
+            lists = [batch.column(c).to_pylist() for c in ("_html", "removed", "trusted")]
+            texts = [main_text(h, frozenset(r or ()), frozenset(t or ())) for h, r, t in zip(*lists, strict=True)]
+            keep = [n for n in batch.schema.names if n not in ("_html", "removed", "trusted")]
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in keep], pa.array(texts, pa.string())], [*keep, "text"])
 
     return joined.mapInArrow(run, schema)
