@@ -28,6 +28,7 @@ import re
 from collections.abc import Iterator
 from hashlib import blake2b
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -201,19 +202,23 @@ def main_text(source: str | None, removed: frozenset[str] = frozenset(), trusted
 
 
 def _observe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, node, kind, value): what a page has at a node."""
+    """For each page its digest and the (node, kind, value) that it has."""
     for batch in batches:
-        rows: dict[tuple, None] = {}
-        out: list[tuple] = []
+        pages: dict[tuple[str, bytes], list[tuple]] = {}
         for host, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
+            name = host, blake2b(source.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+            if name in pages:
+                continue
             page = parse(source)
-            rows = dict.fromkeys((host, p, INSIDE if main else TEXT, _hash(t)) for p, t, main in page.blocks)
-            rows |= dict.fromkeys((host, p, PRESENT, 0) for p, _, _ in page.blocks)
-            rows |= dict.fromkeys((host, p, SEQUENCE, _hash(s)) for p, s in page.sequences)
-            out += rows
-        columns = list(zip(*out, strict=True)) or [[], [], [], []]
-        types = (pa.string(), pa.string(), pa.int32(), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["host", "path", "kind", "value"])
+            rows = dict.fromkeys((p, INSIDE if main else TEXT, _hash(t)) for p, t, main in page.blocks)
+            rows |= dict.fromkeys((p, PRESENT, 0) for p, _, _ in page.blocks)
+            rows |= dict.fromkeys((p, SEQUENCE, _hash(s)) for p, s in page.sequences)
+            pages[name] = list(rows)
+        ends = np.cumsum([0, *map(len, pages.values())])
+        columns = list(zip(*(r for rows in pages.values() for r in rows), strict=True)) or [[], [], []]
+        fields = [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int32(), pa.int64()), strict=True)]
+        seen = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(fields, ["path", "kind", "value"]))
+        yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in pages], pa.string()), pa.array([d for _, d in pages], pa.binary()), seen], ["host", "page", "seen"])
 
 
 def _low(threshold: float, decay: float, outside: float):
@@ -254,7 +259,8 @@ def style_tree(pages: DataFrame, *, threshold: float = 0.2, decay: float = 0.9,
     ``pages`` has host and html.
     """
     pages = pages.where("html IS NOT NULL AND html <> ''")
-    seen = pages.mapInArrow(_observe, "host string, path string, kind int, value long").groupBy("host", "path", "kind", "value").agg(F.count("*").alias("n"))
+    once = pages.mapInArrow(_observe, "host string, page binary, seen array<struct<path: string, kind: int, value: long>>").dropDuplicates(["host", "page"])
+    seen = once.select("host", F.inline("seen")).groupBy("host", "path", "kind", "value").agg(F.count("*").alias("n"))
     weight = F.when(F.col("kind") == TEXT, F.col("n")).when(F.col("kind") == INSIDE, 1)
     shapes = F.when(F.col("kind") == SEQUENCE, F.col("n"))
     kinds = seen.groupBy("host", "path").agg(
@@ -280,8 +286,7 @@ def style_tree(pages: DataFrame, *, threshold: float = 0.2, decay: float = 0.9,
 def extract(pages: DataFrame, work: Workspace, *, url: str = "url", source: str = "html", broadcast_bytes: int = 32 << 20, salts: int = 32) -> DataFrame:
     """``pages`` with text, the main text of each page, in place of its html."""
     pages = pages.drop("text", "host", "removed", "trusted").withColumn("host", F.coalesce(F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)), F.lit("")))
-    once = pages.select("host", F.col(source).alias("html"))
-    tree = work.save(style_tree(once).where("size(removed) + size(trusted) > 0"), "tree")
+    tree = work.save(style_tree(pages.select("host", F.col(source).alias("html"))).where("size(removed) + size(trusted) > 0"), "tree")
     size = tree.agg(F.sum(F.length("host") + F.aggregate(F.concat("removed", "trusted"), F.lit(0), lambda s, x: s + F.length(x)) + 64)).first()[0] or 0
     if size <= broadcast_bytes:
         joined = pages.join(F.broadcast(tree), "host", "left")

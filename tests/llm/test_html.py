@@ -26,3 +26,9 @@ def test_main_parts_are_never_taken_whole(texts):
     assert all("one and the same" in t for t in texts(*[near.format(i) for i in range(5)]))
     shared = [f"<article><p>shared</p><p>more of it</p><p>changed {i}</p></article>" for i in range(30)]
     assert texts(*shared, "<article><p>another</p></article>") == [*[f"shared\n\nmore of it\n\nchanged {i}" for i in range(30)], "another"]
+
+
+def test_copies_of_a_page_count_once(texts):
+    copy = "<html><body><div class='post'><p>the same page</p><p>again and again</p></div></body></html>"
+    other = "<html><body><div class='post'><p>text {0}</p></div></body></html>"
+    assert texts(*[copy] * 40, *[other.format(i) for i in range(4)]) == ["the same page\n\nagain and again"] * 40 + [f"text {i}" for i in range(4)]
