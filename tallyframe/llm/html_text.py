@@ -5,10 +5,14 @@ with digits folded. Over the host's distinct pages a node has
 - presentation importance: the entropy (base m, of its m pages) of the child sequences under it, and
 - content importance: 1 minus the mean entropy of its texts over the pages; a text on one page has entropy 0, one on all
   m pages 1.
-A branch's importance mixes its own with its children's mean, with the content's share growing towards the leaves. Names
-that state a purpose (nav, footer, "advert", ...) fix a branch's importance at 0. A branch is removed from every page if
+A branch's importance mixes its own with its children's mean, with the content's share growing towards the leaves. Tags
+and roles that state a purpose (nav, footer, ...) fix a branch's importance at 0. A branch is removed from every page if
 it and all that it holds are below the threshold.
 
+Whole class tokens and ids ("advert", "sidebar"; not ids of headings) are evidence: a branch named so goes, but its texts stay
+where their nodes have the importance asked for outside of main parts and the branch either lies in a main part or has
+blocks of LONG characters on average. A named branch around a page's only main part has no effect on it.
+
 A main part that a page marks (<article>, <main>) is a prior and no override. Inside, the mean is over distinct texts and
 not over occurrences, so that near copies of a page don't make its paragraphs boilerplate, and the tree never takes a
 page's whole main part. Outside, a text stays only if its node's content importance times ``outside`` reaches the threshold.
@@ -27,6 +31,7 @@ import html.parser
 import re
 from collections.abc import Iterator
 from hashlib import blake2b
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -60,11 +65,17 @@ REMOVED_NAMES = {
 REMOVED_ROLES = {"alert", "alertdialog", "banner", "complementary", "contentinfo", "dialog", "form", "menu", "navigation", "search"}
 MAIN_TAGS = {"main", "article"}
 
+#: Ids that say what a heading is about.
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+#: Mean characters of a block from which a named branch outside of a main part counts as prose.
+LONG = 200
+
 REMOVED, OPEN = 0, -1
+#: Where a text is: outside of a main part, in one below a named branch, in another one.
+OUT, WRAPPED, MAIN = range(3)
 #: Kinds of observations: a text outside of a main part, a child sequence, a text inside of one, a page with a text.
 TEXT, SEQUENCE, INSIDE, PRESENT = range(4)
 _GAP = re.compile(r"\s+")
-_NAME = re.compile(r"[A-Za-z]+")
 _DIGITS = re.compile(r"\d+")
 
 
@@ -72,39 +83,61 @@ def _hash(text: str) -> int:
     return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
+class Block(NamedTuple):
+    path: str
+    raw: str
+    main: int
+    part: int  # the named branch that holds it, in its main part if it has one
+    wrap: int  # the named branch around its main part
+    group: int  # equal for the segments of one block of text, which named inline elements cut
+
+    @property
+    def text(self) -> str:
+        return _GAP.sub(" ", self.raw).strip()
+
+
 class _Node:
-    __slots__ = ("tag", "path", "state", "main", "children")
+    __slots__ = ("tag", "path", "state", "main", "part", "wrap", "named", "children")
 
-    def __init__(self, tag: str, path: str, state: int, main: bool):
-        self.tag, self.path, self.state, self.main, self.children = tag, path, state, main, []
+    def __init__(self, tag: str, path: str, state: int, main: int, part: int, wrap: int, named: bool):
+        self.tag, self.path, self.state, self.main, self.part, self.wrap, self.named, self.children = tag, path, state, main, part, wrap, named, []
 
 
 class Page(html.parser.HTMLParser):
     """Blocks of text with the style path that owns them, and the child sequences of each path.
 
-    removed: paths whose branches are left out besides those with telling names. cut: whether a main part lost text to them.
+    removed: paths whose branches are left out besides those with telling tags. cut: whether a main part lost text to them.
     """
 
     def __init__(self, removed: frozenset[str] = frozenset()):
         super().__init__(convert_charrefs=True)
         self.removed = removed
         self.cut = False
-        self.stack = [_Node("", "", OPEN, False)]
-        self.blocks: list[tuple[str, str, bool]] = []  # path, text, inside a marked main part
+        self.stack = [_Node("", "", OPEN, OUT, 0, 0, False)]
+        self.blocks: list[Block] = []
         self.sequences: list[tuple[str, str]] = []
         self.parts: list[str] = []
         self.owner: _Node | None = None
+        self.named = self.group = 0
+
+    def _cut(self) -> None:
+        """Ends a segment; the block goes on."""
+        if self.owner is not None:
+            o = self.owner
+            self.blocks.append(Block(o.path, "".join(self.parts), o.main, o.part, o.wrap, self.group))
+            self.parts, self.owner = [], None
 
     def _flush(self) -> None:
-        text = _GAP.sub(" ", "".join(self.parts)).strip()
-        if text and self.owner is not None:
-            self.blocks.append((self.owner.path, text, self.owner.main))
-        self.parts, self.owner = [], None
+        self._cut()
+        self.parts = []
+        self.group += 1
 
     def _pop(self) -> None:
         node = self.stack.pop()
         if node.tag in BLOCK or node.state == REMOVED:
-            self._flush()
+            self._flush() if node.tag in BLOCK else self._cut()
+        elif node.named:
+            self._cut()
         if node.state != REMOVED and node.children:
             self.sequences.append((node.path, " ".join(dict.fromkeys(node.children))))
 
@@ -131,11 +164,16 @@ class Page(html.parser.HTMLParser):
         style = _DIGITS.sub("0", f"{tag}.{'.'.join(sorted(label.split()))}")
         path = f"{above.path}/{style}" if len(self.stack) < 64 else above.path
         state = above.state
-        names = {x.lower() for x in _NAME.findall(label)}
-        main = above.main or (state != REMOVED and tag in MAIN_TAGS and not names & REMOVED_NAMES)
+        tokens = named.get("class") or "" if tag in HEADINGS else label
+        telling = tag not in ("html", "body") and not REMOVED_NAMES.isdisjoint(tokens.lower().split())
+        main, part, wrap = above.main, above.part, above.wrap
+        if not main and state != REMOVED and tag in MAIN_TAGS and not telling:
+            main, part, wrap = WRAPPED if part else MAIN, 0, part
+        elif telling and not part:
+            self.named += 1
+            part = self.named
         if (
             tag in REMOVED_TAGS
-            or names & REMOVED_NAMES
             or named.get("role") in REMOVED_ROLES
             or "hidden" in named
             or named.get("aria-hidden") == "true"
@@ -144,12 +182,14 @@ class Page(html.parser.HTMLParser):
             state = REMOVED
         elif state != REMOVED and path in self.removed:
             state = REMOVED
-            self.cut |= main
+            self.cut |= main != OUT
         if tag in BLOCK:
             above.children.append(style)
         if state == REMOVED and above.state != REMOVED:
             self._flush() if tag in BLOCK else self.parts.append(" ")
-        self.stack.append(_Node(tag, path, state, main))
+        elif telling and state != REMOVED and tag not in BLOCK:
+            self._cut()
+        self.stack.append(_Node(tag, path, state, main, part, wrap, telling))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -172,8 +212,9 @@ class Page(html.parser.HTMLParser):
             return
         if self.owner is None:
             if not data.strip():
+                self.parts.append(" ")
                 return
-            self.owner = next((n for n in reversed(self.stack) if n.tag in BLOCK or not n.tag), top)
+            self.owner = next((n for n in reversed(self.stack) if n.tag in BLOCK or n.named or not n.tag), top)
         self.parts.append(data)
 
     def finish(self) -> Page:
@@ -190,15 +231,38 @@ def parse(source: str | None, removed: frozenset[str] = frozenset()) -> Page:
     return page.finish()
 
 
+def _chosen(blocks: list[Block], trusted: frozenset[str]) -> list[Block]:
+    marked = max((b.main for b in blocks), default=OUT)
+    lengths: dict[int, list[int]] = {}
+    for b in blocks:
+        lengths.setdefault(b.part if b.main == marked else b.wrap or b.part, []).append(len(b.text))
+    prose = {part for part, found in lengths.items() if sum(found) >= LONG * len(found)}
+    out = []
+    for b in blocks:
+        inside = marked != OUT and b.main == marked
+        part = b.part if inside else b.wrap or b.part
+        if part:
+            keep = b.path in trusted and (inside or part in prose)
+        else:
+            keep = inside or marked == OUT or b.path in trusted
+        if keep:
+            out.append(b)
+    if marked != OUT and not any(b.main == marked for b in out):  # names don't take a whole main part either
+        return [b for b in blocks if b.main == marked]
+    return out
+
+
 def main_text(source: str | None, removed: frozenset[str] = frozenset(), trusted: frozenset[str] = frozenset()) -> str:
-    """trusted: paths whose texts stay outside of a marked main part."""
+    """trusted: paths whose texts stay outside of a marked main part or in a named branch."""
     page = parse(source, removed)
-    if page.cut and not any(main for _, _, main in page.blocks):
+    if page.cut and not any(b.main for b in page.blocks):
         page = parse(source)  # the whole main part is never taken
-    blocks = page.blocks
-    if any(main for _, _, main in blocks):
-        blocks = [b for b in blocks if b[2] or b[0] in trusted]
-    return "\n\n".join(text for _, text, _ in blocks)
+    groups: dict[int, list[Block]] = {}
+    chosen = set(_chosen(page.blocks, trusted))
+    for b in page.blocks:
+        groups.setdefault(b.group, []).append(b)
+    texts = (_GAP.sub(" ", "".join(b.raw if b in chosen else " " for b in group)).strip() for group in groups.values())
+    return "\n\n".join(t for t in texts if t)
 
 
 def _observe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,8 +274,8 @@ def _observe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if name in pages:
                 continue
             page = parse(source)
-            rows = dict.fromkeys((p, INSIDE if main else TEXT, _hash(t)) for p, t, main in page.blocks)
-            rows |= dict.fromkeys((p, PRESENT, 0) for p, _, _ in page.blocks)
+            rows = dict.fromkeys((b.path, INSIDE if b.main else TEXT, _hash(b.text)) for b in page.blocks)
+            rows |= dict.fromkeys((b.path, PRESENT, 0) for b in page.blocks)
             rows |= dict.fromkeys((p, SEQUENCE, _hash(s)) for p, s in page.sequences)
             pages[name] = list(rows)
         ends = np.cumsum([0, *map(len, pages.values())])
@@ -223,7 +287,7 @@ def _observe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _low(threshold: float, decay: float, outside: float):
     def run(host: pa.Table) -> pa.Table:
-        """The highest branches of one host's tree that are below the threshold throughout, and the nodes trusted outside of main parts."""
+        """The highest branches of one host's tree that are below the threshold throughout, and the nodes with trusted texts."""
         own = {r["path"]: r for r in host.to_pylist()}
         below: dict[str, list[str]] = {}
         for path in own:
@@ -243,10 +307,11 @@ def _low(threshold: float, decay: float, outside: float):
                 importance[path] = content if content is not None else 1.0
         low: set[str] = set()
         for path in importance:  # children first
-            if importance[path] < threshold and own[path]["pages"] >= 3 and low.issuperset(below.get(path, ())):
+            texts = own[path]["content"]
+            if importance[path] < threshold and (texts is None or texts < threshold) and own[path]["pages"] >= 3 and low.issuperset(below.get(path, ())):
                 low.add(path)
         removed = sorted(p for p in low if p.rpartition("/")[0] not in low)
-        trusted = sorted(p for p, r in own.items() if r["content"] is not None and not r["inside"] and r["pages"] >= 3 and outside * r["content"] >= threshold)
+        trusted = sorted(p for p, r in own.items() if r["content"] is not None and r["pages"] >= 3 and outside * r["content"] >= threshold)
         name = host.column("host")[0].as_py()
         return pa.table({"host": pa.array([name], pa.string()), "removed": pa.array([removed], pa.list_(pa.string())), "trusted": pa.array([trusted], pa.list_(pa.string()))})
 
@@ -254,7 +319,7 @@ def _low(threshold: float, decay: float, outside: float):
 
 
 def style_tree(pages: DataFrame, *, threshold: float = 0.2, decay: float = 0.9, outside: float = 0.5) -> DataFrame:
-    """(host, removed, trusted): for each host the branches to remove and the nodes to keep outside of main parts.
+    """(host, removed, trusted): for each host the branches to remove and the nodes whose texts stay against a prior.
 
     ``pages`` has host and html.
     """
@@ -269,14 +334,12 @@ def style_tree(pages: DataFrame, *, threshold: float = 0.2, decay: float = 0.9,
         F.sum(shapes).alias("shapes"),
         F.sum(shapes * F.log("n")).alias("shape_logs"),
         F.greatest(F.coalesce(F.sum(shapes), F.lit(0)), F.coalesce(F.max(F.when(F.col("kind") == PRESENT, F.col("n"))), F.lit(0))).alias("pages"),
-        F.max((F.col("kind") == INSIDE)).alias("inside"),
     )
     log_m = F.log(F.greatest(F.max("pages").over(Window.partitionBy("host")), F.lit(2)))
     nodes = kinds.select(
         "host",
         "path",
         "pages",
-        "inside",
         (1 - F.col("text_logs") / F.col("texts") / log_m).alias("content"),
         ((F.log("shapes") - F.col("shape_logs") / F.col("shapes")) / log_m).alias("presentation"),
     )

@@ -32,3 +32,13 @@ def test_copies_of_a_page_count_once(texts):
     copy = "<html><body><div class='post'><p>the same page</p><p>again and again</p></div></body></html>"
     other = "<html><body><div class='post'><p>text {0}</p></div></body></html>"
     assert texts(*[copy] * 40, *[other.format(i) for i in range(4)]) == ["the same page\n\nagain and again"] * 40 + [f"text {i}" for i in range(4)]
+
+
+def test_names_are_evidence(texts):
+    wrapped = "<div class='sidebar'><article><p>in the article</p></article></div>"
+    ids = "<div class='content with-sidebar'><article><h2 id='related-work'>Related</h2><h2 id='search'>Search</h2><section id='social-history'><p>history</p></section></article></div>"
+    assert texts(wrapped, ids) == ["in the article", "Related\n\nSearch\n\nhistory"]
+    page = "<article><p>text {0} <a class='share'>Share</a> end {0}</p><section class='notice'><p>notice {0}</p></section><div class='newsletter'><p>Sign up</p></div></article><div class='ad'>short {0}</div><div class='widget'>{1}</div>"
+    long = "only here {0} " * 30
+    got = texts(*[page.format(i, long.format(i)) for i in range(5)])
+    assert got == [f"text {i} end {i}\n\nnotice {i}\n\n{long.format(i).strip()}" for i in range(5)]
