@@ -7,8 +7,8 @@ logarithms over its words.
 Documents are dealt to blocks of bounded size. For each order a block explodes its n-grams, adds up equal ones and sends
 them to count tables that are partitioned by hash; the tables send the totals
 back to each block that asked, in the order in which it asked. An n-gram
-can only occur twice if both n-grams of the order below do, so a block asks for those alone and most rare ones never
-travel. At last each block sums its documents' scores. A frequent n-gram costs one row a block, whatever its count. Sums,
+can only occur ``least`` times if both n-grams of the order below do, so a block asks for those alone: for all with
+``least`` 1, while from 2 on most rare ones never travel. At last each block sums its documents' scores. A frequent n-gram costs one row a block, whatever its count. Sums,
 counts and blocks grow with the table; no task holds more than a block or a slice of a count table.
 
 Defined results: null, empty and wordless texts have 0 words, log_score 0 and a null mean; repeated rows are counted and
@@ -110,7 +110,7 @@ class Block:
             context = np.concatenate([np.zeros(n - 1, np.int64), self.counts.get(n - 1, zero)])[: len(zero)]
             hit = deep & (count > 0)
             s = np.where(hit, np.log(np.maximum(count, 1) / np.maximum(context, 1)), np.where(deep, s + np.log(BACKOFF), s))
-        return np.bincount(np.repeat(np.arange(len(self.sizes)), self.sizes), s, len(self.sizes))
+        return np.bincount(np.repeat(np.arange(len(self.sizes)), self.sizes), s, len(self.sizes)).astype(np.float64)  # whole numbers without a word
 
 
 def _ask(n: int, slices: int):

@@ -68,7 +68,7 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return backoff.score(_table(spark, sf_dir, "documents"), Workspace(spark, "op8"))
+    return backoff.score(_table(spark, sf_dir, "documents"), Workspace(spark, "op8"), least=1)  # every n-gram counts
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
