@@ -1,19 +1,29 @@
 """N-gram Jaccard self-join with adaptive multi-match prefixes, exact, as components of linked documents.
 
-A document is its set of distinct 5-word shingles (64-bit hashes). If two sets have a Jaccard similarity of t or more, then
-of their first n - ceil(t n) + l shingles in any common order they share at least the smaller l. With l = 1 this is the
-usual prefix filter. The estimated candidate cost of a document is the number of others that share shingles of its short
-prefix. Where it is high (shared passages, boilerplate), the prefix is lengthened to l = n // 10 + 1; since partners must
-then share m or more of its shingles, the m - 1 most frequent ones need not be posted, and common passages fall out. A
-cheap and a costly document meet in a shingle that is rare by the cheap one's cost, which the costly one posts as well.
-
-Equal sets are one node. Large groups of near copies don't become all pairs: first each posting list is verified against
-one node, the likeliest centre of a group; then against one node that the first round left outside; and at last pairs are
-formed only across the components found so far. Pairs are verified on the whole shingle sets.
+A document is its set of distinct 5-word shingles (64-bit hashes). Two sets of x and y shingles are similar if they share
+o = ceil(t (x + y) / (1 + t)) or more. Then, in any common order, the first x - o + l of the one and the first y - o + l of
+the other share l or more. With l = 1 this is the usual prefix filter; with a larger l the prefixes are longer, but l shared
+tokens are required before a pair is verified, which few documents that merely quote the same passage reach.
+
+Each document gets its own l, a power of two. Its estimated candidate cost under l is what its prefix tokens meet (the sum
+of the others that have them, in the prefix for partners of its own size), and for each document that could share l of them, an l-th part of that sum, a verification;
+the l of the least cost is taken. Two documents use the smaller of their two l.
+
+Tokens are ordered in two tiers. The first orders them by their hash, so that only a third of all shingles is counted. Its
+posting lists of more than ``crowd`` documents are left out; instead all documents of such a list post in a second tier, over
+their whole sets, rarest tokens first, so that common passages fall to the end of the order. If two similar documents meet
+in a crowded list, both are in the second tier and meet there; if they don't, no list that they share was left out.
+
+Equal sets are one node. Large groups of near copies don't become all pairs: in rounds, each posting list is held against
+one node, the likeliest centre of a group, and a list that lies in one component is done. When the pairs that are left,
+across components, are few for the lists' size, they are formed, counted and those with l matches verified on the whole
+shingle sets. A star's pair is held to l matches among the lists of its centre; one that has fewer waits for the last step.
+Texts and not sets travel to the verification: they have fewer bytes, compressed.
 
 Defined results: null, empty or wordless texts have no shingles and are linked with nothing; a text of fewer than five
 words is one shingle; rows that repeat a document are linked with it; rows with the same key and different texts are
-different documents; ties need no rule, since links are symmetric. Extra columns are not read.
+different documents; a null key is a key like others, and the smallest of a group with other keys is one of those; ties need
+no rule, since links are symmetric. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -46,8 +56,13 @@ def shingle_sets(column: pa.Array, width: int = WIDTH) -> Iterator[np.ndarray]:
                 yield tb.windows(h[a:b], b - a) if b > a else full[:0]
 
 
-def _lengthened(n):
-    """l of a lengthened prefix; for numbers and columns alike."""
+#: Candidates for l, and what the verification of a pair costs against the meeting of two documents in a token.
+LEVELS = (1, 2, 4, 8, 16, 32)
+VERIFY_COST = 16
+
+
+def _most(n: int) -> int:
+    """The largest l for a set of n shingles."""
     return n // 10 + 1
 
 
@@ -57,14 +72,9 @@ class Threshold:
     def __init__(self, percent: int):
         self.percent = percent
 
-    def shared(self, n: int) -> int:
-        return -(-self.percent * n // 100)
-
-    def short(self, n: int) -> int:
-        return n - self.shared(n) + 1
-
     def long(self, n: int) -> int:
-        return n - self.shared(n) + _lengthened(n)
+        """Length of the longest prefix."""
+        return n - -(-self.percent * n // 100) + _most(n)
 
     def similar(self, a: np.ndarray, b: np.ndarray) -> bool:
         if 100 * min(len(a), len(b)) < self.percent * max(len(a), len(b)):
@@ -72,6 +82,22 @@ class Threshold:
         both = len(np.intersect1d(a, b, assume_unique=True))
         return 100 * both >= self.percent * (len(a) + len(b) - both)
 
+    def shared(self, n: str, m: str) -> str:
+        """SQL: what similar sets of n and m shingles share at least."""
+        return f"({self.percent} * ({n} + {m}) + {99 + self.percent}) div {100 + self.percent}"
+
+    def prefix(self, l: int | str, m: str | None = None) -> str:  # noqa: E741
+        """SQL: length of the prefix of n shingles that holds for a partner of m, or for every partner."""
+        return f"(n - {self.shared('n', m)} + {l})" if m else f"(n - ({self.percent} * n + 99) div 100 + {l})"
+
+    def reach(self) -> str:
+        """SQL: the largest partner that a token at place ``at`` can still help to find."""
+        return f"((n + l - 1 - at) * {100 + self.percent} div {self.percent} - n)"
+
+    def meet(self, a: str, b: str) -> str:
+        """SQL: whether the places of a token that two documents share lie in both prefixes of their common l."""
+        return " AND ".join(f"{x}at + {self.shared(f'{a}n', f'{b}n')} <= {x}n + least({a}l, {b}l) - 1" for x in (a, b))
+
 
 def _signatures(t: Threshold):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,50 +131,59 @@ def _verify(t: Threshold):
     return run
 
 
-def _postings(signatures: DataFrame, nodes: DataFrame, t: Threshold, cheap: int) -> DataFrame:
-    """(token, node, n): what each node posts."""
-    need = lambda n: F.expr(f"({t.percent} * {n} + 99) div 100")
-    rows = signatures.select("node", "n", F.posexplode("tokens").alias("at", "token"))
-    rows = rows.select("token", "node", F.when(F.col("at") < F.col("n") - need("n") + 1, F.col("n")).otherwise(-F.col("n")).alias("n"))  # n < 0: beyond the short prefix
+def _lengthened(tokens: DataFrame, t: Threshold, most: int | None = None) -> DataFrame:
+    """(token, node, n, l, at): what each node posts, from the tokens (token, node, n, at, df) that it shares with others.
+
+    ``most``: tokens of more nodes are left out.
+    """
+    live = tokens if most is None else tokens.where(F.col("df") <= most)
+    levels = LEVELS
+    met = [F.sum(F.expr(f"CASE WHEN at < {t.prefix(x, 'n')} THEN df - 1 ELSE 0 END")).alias(f"met{x}") for x in levels]
+    by_node = live.groupBy("node").agg(F.max("n").alias("n"), *met, F.collect_list(F.struct("at", "token")).alias("tokens"))
+    costs = [F.when(F.expr(f"{x} <= n div 10 + 1"), F.struct((F.col(f"met{x}") * (1 + VERIFY_COST / x)).alias("cost"), F.lit(x).alias("l"))) for x in levels]
+    by_node = by_node.select("node", "n", F.array_min(F.array_compact(F.array(*costs)))["l"].alias("l"), "tokens")
+    posted = by_node.select("node", "n", "l", F.explode("tokens").alias("x")).select(F.col("x.token").alias("token"), "node", "n", "l", F.col("x.at").alias("at"))
+    return posted.where(f"at < {t.prefix('l')}")
+
+
+def _met(posted: DataFrame, t: Threshold) -> DataFrame:
+    """``posted`` without the tokens with which a node can find nobody."""
+    lists = posted.groupBy("tier", "token").agg(F.count("*").alias("size"), F.min("n").alias("least")).where("size > 1")
+    return posted.join(lists, ["tier", "token"]).where(f"{t.reach()} >= least").drop("least")
+
+
+def _first_tier(signatures: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(token, node, n, at, df) of the tokens that several nodes have in their longest prefixes, in the order of their hashes."""
+    rows = signatures.select("node", "n", F.posexplode("tokens").alias("at", "token")).join(nodes.select("node"), "node")
     shared = rows.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-    live = rows.join(shared, "token").join(nodes.select("node"), "node")
-    by_node = live.groupBy("node").agg(F.max(F.abs("n")).alias("n"), F.sort_array(F.collect_list(F.struct("df", "token", (F.col("n") > 0).alias("short")))).alias("tokens"))
-    l = F.floor(F.col("n") / 10) + 1  # noqa: E741
-    reach = F.col("n") - need("n") + l
-    least = F.floor(need("n") / 10) + 1  # what any partner must share of the lengthened prefix
-    rest = reach - least + 1 - (reach - F.size("tokens"))  # of the shared tokens, rarest first, after those that nobody shares
-    cost = F.aggregate(F.filter("tokens", lambda x: x["short"]), F.lit(0).cast("long"), lambda s, x: s + x["df"] - 1)
-    by_node = by_node.withColumns({"rest": rest, "cost": cost})
-    posted = F.when(F.col("cost") <= cheap, F.filter("tokens", lambda x: x["short"])).otherwise(
-        F.filter("tokens", lambda x, i: (i < F.col("rest")) | (x["short"] & (x["df"] <= cheap + 1)))
-    )
-    return by_node.select("node", "n", F.explode(posted).alias("x")).select(F.col("x.token").alias("token"), "node", "n")
-
-
-def _rarest(texts: DataFrame, work: Workspace, t: Threshold) -> DataFrame:
-    """(token, node, n, size): the rarest shingles of whole sets, as many as make two similar sets meet in one."""
+    return rows.join(shared, "token")
+
+
+def _second_tier(texts: DataFrame, work: Workspace) -> DataFrame:
+    """(token, node, n, at, df) of the tokens that several of these nodes have, rarest first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = list(shingle_sets(tb.as_strings(batch.column("text"))))
-            n = np.fromiter(map(len, sets), np.int64, len(sets))
-            flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
-            tokens = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(n), tokens], ["node", "n", "tokens"])
+            column = tb.as_strings(batch.column("text"))
+            for lo, hi in tb.blocks(column):
+                sets = list(shingle_sets(column.slice(lo, hi - lo)))
+                n = np.fromiter(map(len, sets), np.int64, len(sets))
+                tokens = pa.LargeListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)])), pa.array(np.concatenate(sets).view(np.int64))).cast(pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([batch.column("node").slice(lo, hi - lo), pa.array(n), tokens], ["node", "n", "tokens"])
 
     rows = work.save(texts.mapInArrow(run, "node long, n long, tokens array<long>"), "crowded").select("node", "n", F.explode("tokens").alias("token"))
     shared = rows.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     by_node = rows.join(shared, "token").groupBy("node").agg(F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "token"))).alias("tokens"))
-    short = F.col("n") - F.expr(f"({t.percent} * n + 99) div 100") + 1
-    posted = F.filter("tokens", lambda x, i: i < short - (F.col("n") - F.size("tokens")))
-    # These tokens meet only each other: their sign bit is turned.
-    posted = by_node.select("node", "n", F.explode(posted).alias("x")).select(F.bitwise_not("x.token").alias("token"), "node", "n")
-    posted = work.save(posted, "rarest")
-    return posted.join(posted.groupBy("token").agg(F.count("*").alias("size")).where("size > 1"), "token")
+    # Tokens that nobody shares come first.
+    return by_node.select("node", "n", F.posexplode("tokens").alias("k", "x"), F.size("tokens").alias("shared")).select(F.col("x.token").alias("token"), "node", "n", (F.col("n") - F.col("shared") + F.col("k")).alias("at"), F.col("x.df").alias("df"))
+
 
+def link(docs: DataFrame, work: Workspace, *, percent: int = 75, crowd: int = 64, rounds: int = 6, few: int = 4, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """For each row: doc_id, n_shingles and component_id, the smallest key that its links reach.
 
-def link(docs: DataFrame, work: Workspace, *, percent: int = 75, cheap: int = 8, crowd: int = 100, rounds: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """For each row: doc_id, n_shingles and component_id, the smallest key that its links reach."""
+    The last step begins when the pairs left in the lists are ``few`` times the rows of the lists or no longer get fewer by a
+    tenth in a round, or after ``rounds``.
+    """
     t = Threshold(percent)
     docs = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     plain = docs.groupBy("doc_id").count().where("doc_id IS NULL OR count > 1").isEmpty()
@@ -157,22 +192,32 @@ def link(docs: DataFrame, work: Workspace, *, percent: int = 75, cheap: int = 8,
     signatures = work.save(docs.mapInArrow(_signatures(t), schema), "signatures")
     classes = signatures.where("n > 0").groupBy("d1", "d2").agg(F.min("node").alias("node"), F.min("doc_id").alias("first"))
     classes = work.save(classes, "classes")
-    posted = _postings(signatures.where("n > 0").dropDuplicates(["node"]) if not plain else signatures.where("n > 0"), classes, t, cheap)
-    lists = work.save(posted, "posted")
-    several = lists.groupBy("token").agg(F.count("*").alias("size")).where("size > 1")
-    lists = work.save(lists.join(several, "token"), "several")
-    work.drop("posted")
+    once = signatures.where("n > 0") if plain else signatures.where("n > 0").dropDuplicates(["node"])
+    tokens = work.save(_first_tier(once, classes), "tokens")
     work.free_shuffles()
-    needed = lists.select("node").distinct()
-    texts = work.save(docs.select("node", "text").join(needed, "node").dropDuplicates(["node"]) if not plain else docs.select("node", "text").join(needed, "node"), "texts")
+    crowded = tokens.where(F.col("df") > crowd).where(f"at < {t.prefix(1)}").select("node").distinct()
+    posted = work.save(_lengthened(tokens, t, crowd).withColumn("tier", F.lit(1)), "posted1")
+    lists = work.save(_met(posted, t), "lists1")
+    needed = lists.select("node").unionAll(crowded).distinct()
+    texts = docs.select("node", "text").join(needed, "node")
+    texts = work.save(texts if plain else texts.dropDuplicates(["node"]), "texts")
     work.free_shuffles()
-    crowded = lists.where(F.col("size") > crowd).select("node").distinct()
-    lists = lists.where(F.col("size") <= crowd).unionAll(_rarest(texts.join(crowded, "node"), work, t))
+    second = work.save(_second_tier(texts.join(crowded, "node"), work), "tokens2")
+    work.drop("crowded")
+    work.drop("tokens")
+    posted = work.save(_lengthened(second, t).withColumn("tier", F.lit(2)), "posted2")
+    lists = lists.unionAll(_met(posted, t))
     # The node whose shingles most others share is the likeliest centre of a group of copies.
     weights = lists.groupBy("node").agg(F.sum("size").alias("weight"))
     lists = work.save(lists.drop("size").join(weights, "node"), "lists")
+    for name in ("posted1", "posted2", "lists1", "tokens2"):
+        work.drop(name)
     work.free_shuffles()
 
+    def matched(rows: DataFrame) -> DataFrame:
+        """Pairs with as many common tokens as their l asks for, from (u, v, tier, l) with a row for each token."""
+        return rows.groupBy("u", "v", "tier").agg(F.min("l").alias("l"), F.count("*").alias("k")).where("k >= l").select("u", "v").distinct()
+
     def verified(pairs: DataFrame, name: str) -> DataFrame:
         pairs = work.save(pairs, f"{name}_pairs")
         both = pairs.join(texts.select(F.col("node").alias("v"), F.col("text").alias("text_v")), "v").join(texts.select(F.col("node").alias("u"), F.col("text").alias("text_u")), "u")
@@ -180,31 +225,32 @@ def link(docs: DataFrame, work: Workspace, *, percent: int = 75, cheap: int = 8,
         work.free_shuffles()
         return out
 
-    def fits(a: str, b: str):
-        return F.expr(f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b})")
-
-    best = F.max(F.struct("weight", "node", "n", "root")).alias("c")
-    roots, links, tried = None, None, None
-    left = lists.withColumn("root", F.col("node"))
+    spark, sides = work.spark, ["node", "n", "l", "at", "root"]
+    links = spark.createDataFrame([], "u long, v long")
+    tried, left, before = links, lists.withColumn("root", F.col("node")), None
     for k in range(rounds):
-        if roots is None:
-            centre = left.groupBy("token").agg(best)
-        else:  # the best node outside the component of the list's best node
-            first = left.groupBy("token").agg(F.max(F.struct("weight", "node", "root"))["root"].alias("first"))
-            centre = left.join(first, "token").where("root <> first").groupBy("token").agg(best)
-        pairs = left.join(centre, "token").where("root <> c.root").where(fits("n", "c.n"))
-        pairs = pairs.select(F.least("node", "c.node").alias("u"), F.greatest("node", "c.node").alias("v")).distinct()
-        found = verified(pairs if tried is None else pairs.join(tried, ["u", "v"], "left_anti"), f"star{k}")
-        now = work.spark.read.parquet(work.path(f"star{k}_pairs"))
-        links, tried = (found, now) if links is None else (links.unionAll(found), tried.unionAll(now))
+        # The best node of a list, and from the second round on the best one outside of that one's component.
+        best = left.groupBy("tier", "token").agg(F.max(F.struct("weight", *sides)).alias("c"))
+        if k:
+            other = left.join(best.select("tier", "token", F.col("c.root").alias("first")), ["tier", "token"]).where("root <> first")
+            best = other.groupBy("tier", "token").agg(F.max(F.struct("weight", *sides)).alias("c"))
+        pairs = left.join(best, ["tier", "token"]).where(f"root <> c.root AND {t.meet('', 'c.')}")
+        pairs = matched(pairs.select(F.least("node", "c.node").alias("u"), F.greatest("node", "c.node").alias("v"), "tier", F.least("l", "c.l").alias("l")))
+        found = verified(pairs.join(tried, ["u", "v"], "left_anti"), f"star{k}")
+        tried, links = tried.unionAll(spark.read.parquet(work.path(f"star{k}_pairs"))), links.unionAll(found)
         roots = connected(links, work, f"near{k}_")
         labelled = lists.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        mixed = labelled.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("token")
-        left = work.save(labelled.join(mixed, "token"), f"mixed{k}")
+        several = labelled.groupBy("tier", "token").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.min("n").alias("least")).where("a < b").select("tier", "token", "least")
+        left = work.save(labelled.join(several, ["tier", "token"]).where(f"{t.reach()} >= least").drop("least"), f"mixed{k}")
         work.free_shuffles()
-    a, b = (left.select("token", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "root")]) for x in "ab")
-    across = a.join(b, "token").where("node_a < node_b AND root_a <> root_b").where(fits("n_a", "n_b"))
-    pairs = across.select(F.col("node_a").alias("u"), F.col("node_b").alias("v")).distinct()
+        sizes = left.groupBy("tier", "token", "root").agg(F.count("*").alias("s")).groupBy("tier", "token").agg(F.sum("s").alias("s"), F.sum(F.col("s") * F.col("s")).alias("own"))
+        rows, cross = sizes.agg(F.sum("s"), F.sum((F.col("s") * F.col("s") - F.col("own")) / 2)).first()
+        if (cross or 0) <= few * (rows or 0) or (before is not None and cross > 0.9 * before):
+            break
+        before = cross
+    a, b = (left.select("tier", "token", *[F.col(c).alias(f"{x}_{c}") for c in sides]) for x in "ab")
+    across = a.join(b, ["tier", "token"]).where(f"a_node < b_node AND a_root <> b_root AND {t.meet('a_', 'b_')}")
+    pairs = matched(across.select(F.col("a_node").alias("u"), F.col("b_node").alias("v"), "tier", F.least("a_l", "b_l").alias("l")))
     cross = verified(pairs.join(tried, ["u", "v"], "left_anti"), "cross")
     roots = connected(links.unionAll(cross), work, "all")
     linked = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

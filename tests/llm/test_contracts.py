@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from tallyframe.llm import backoff, decontaminate, jaccard_join, language_id, packing, quality_rules, sharding, token_counts
+from tallyframe.llm import backoff, decontaminate, jaccard_join, language_id, packing, quality_rules, queries, sharding, token_counts
 from tallyframe.llm.work import Workspace
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -44,7 +44,8 @@ def low(text):
     return re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
 
 
-def test_links(spark, docs, texts):
+def components(texts):
+    """Shingle counts and the smallest place of each text's component, by comparing all pairs."""
     sets = []
     for t in texts:
         w = WORD.findall(low(t))
@@ -61,9 +62,44 @@ def test_links(spark, docs, texts):
             if a and sets[j] and 100 * len(a & sets[j]) >= 75 * len(a | sets[j]):
                 x, y = sorted((find(i), find(j)))
                 root[y] = x
-    for cheap, crowd in ((8, 100), (0, 2)):
-        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.link(docs, Workspace(spark, "t"), cheap=cheap, crowd=crowd).collect()}
-        assert got == {i: (len(sets[i]), find(i)) for i in range(len(texts))}
+    return {i: (len(sets[i]), find(i)) for i in range(len(texts))}
+
+
+def test_links(spark, docs, texts):
+    want = components(texts)
+    for options in ({}, {"crowd": 2}, {"crowd": 2, "rounds": 1}, {"few": 0}):
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.link(docs, Workspace(spark, "t"), **options).collect()}
+        assert got == want, options
+
+
+def test_links_of_passages_and_chains(spark, tmp_path):
+    """The registered query on texts that share a long passage, on chains of near copies and on a group of them."""
+    rng = random.Random(11)
+    draw = lambda k: rng.choices([f"v{i}" for i in range(900)], k=k)
+    passage, texts = draw(120), []
+    texts += [passage + draw(rng.randrange(5, 90)) for _ in range(60)]  # a passage of more than half of each text
+    texts += [draw(rng.randrange(5, 40)) + passage[:80] + draw(9) for _ in range(30)]
+    step = draw(150)
+    for _ in range(25):  # a chain whose ends are not alike
+        step = list(step)
+        step[rng.randrange(150)] = rng.choice(["new", "other", "third"])
+        texts.append(step)
+    base = draw(200)
+    for _ in range(90):
+        near = list(base)
+        for _ in range(rng.randrange(9)):
+            near[rng.randrange(200)] = f"x{rng.randrange(10**6)}"
+        texts.append(near)
+    texts = [" ".join(t) for t in texts] + [" ".join(draw(20_000))] * 2
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in queries.op3_jaccard_join(spark, str(tmp_path)).collect()}
+    assert got == components(texts)
+
+
+def test_links_of_repeated_and_null_keys(spark):
+    rows = [(1, "a b c d e f"), (1, "a b c d e f"), (1, "x y"), (None, "a b c d e f"), (2, None), (None, None), (3, "x  Y")]
+    got = jaccard_join.link(spark.createDataFrame(rows, "doc_id long, text string"), Workspace(spark, "t")).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(1, 2, 1), (1, 2, 1), (1, 1, 1), (None, 2, 1), (2, 0, 2), (None, 0, None), (3, 1, 1)], key=str)
 
 
 def test_backoff(spark, docs, texts):
