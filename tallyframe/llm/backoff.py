@@ -1,24 +1,31 @@
-"""Stupid-backoff scores of documents under n-gram counts of the same table.
+"""Stupid-backoff scores of documents under n-gram counts of the same table, computed relationally.
 
 score(w | context) is count(context w) / count(context) where the n-gram occurs ``least`` times or more, else 0.4 times the
 score under the context without its first word; a single word has count(w) / words. A document's score is the sum of the
 logarithms over its words.
 
-Documents are dealt to blocks of bounded size. For each order a block explodes its n-grams, adds up equal ones and sends
-them to count tables that are partitioned by hash; the tables send the totals
-back to each block that asked, in the order in which it asked. An n-gram
-can only occur ``least`` times if both n-grams of the order below do, so a block asks for those alone: for all with
-``least`` 1, while from 2 on most rare ones never travel. At last each block sums its documents' scores. A frequent n-gram costs one row a block, whatever its count. Sums,
-counts and blocks grow with the table; no task holds more than a block or a slice of a count table.
+For each order the texts are exploded into n-grams (64-bit hashes). A block of texts adds up its equal ones before they are
+shuffled by hash into the count table of that order. The count table is joined by hash to the n-grams of the documents, and
+what they find is summed per document, partially before the shuffle. Frequent n-grams send a row a block to the count
+table, and in the join Spark can split them, since each is one row there. Orders are done one after the other, and each
+one's sums are written, so no more than one order's n-grams are on disk at a time.
+
+With ``least`` 1 every n-gram of a document is in the tables, since the document was counted: nothing backs off and the
+logarithms of counts and contexts cancel but for log count(n-gram) - log count(context). So each order asks only for
+n-grams whose logarithms remain, and those counted once, whose logarithm is 0, need not be in the joined table. With a higher
+``least`` the tables hold what an n-gram that occurs often enough adds to the score of backing off, which is found by joining
+the (fewer) frequent n-grams to the table of the order below, by prefix and by suffix.
 
 Defined results: null, empty and wordless texts have 0 words, log_score 0 and a null mean; repeated rows are counted and
-scored each; an empty table gives no rows. Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased. Extra columns are dropped.
+scored each; null keys are keys; an empty table gives no rows. Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased. Extra
+columns are dropped.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
+from math import log
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -30,175 +37,128 @@ from tallyframe.llm import textbytes as tb
 from tallyframe.llm.work import Workspace
 
 BACKOFF = 0.4
-#: Above so many blocks, a bucket of the table holds several.
-MOST_BUCKETS = 20_000
-ROWS = "slice int, block int, keys binary, counts binary"
 
 
-class Block:
-    """The words of a block's documents and the counts that it knows so far, by order and place."""
+class Block(NamedTuple):
+    """The words of some texts: hashes, sizes of the texts, and each word's text, place in it and words from there on."""
 
-    def __init__(self, texts: pa.Table, answers: pa.Table | None, slices: int):
-        self.slices = slices
-        parts, ends, base = [], [], 0
-        column = tb.as_strings(texts.column("text"))
-        for lo, hi in tb.blocks(column):
-            w = tb.words(column.slice(lo, hi - lo))
-            parts.append(tb.hashes(w))
-            ends.append(w.offsets[1:] + base)
-            base += len(parts[-1])
-        self.words = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
-        self.ends = np.concatenate(ends) if ends else np.zeros(0, np.int64)
-        self.sizes = np.diff(np.concatenate([[0], self.ends]))
-        self.left = np.repeat(self.ends, self.sizes) - np.arange(len(self.words))  # words from here to the document's end
-        self.counts: dict[int, np.ndarray] = {}
-        if answers is not None:
-            orders = answers.column("n").to_numpy()
-            for n in sorted(set(orders.tolist())):
-                self._learn(n, answers.filter(pa.array(orders == n)))
-
-    def grams(self, n: int) -> np.ndarray:
-        """The hash of the n words from each place on; meaningful where left >= n."""
-        out = np.zeros(len(self.words), np.uint64)
-        found = tb.windows(self.words, n)
-        out[: len(found)] = found
-        return out
-
-    def asked(self, n: int) -> np.ndarray:
-        places = self.left >= n
-        if n > 1:
-            before = self.counts.get(n - 1, np.zeros(len(self.words), np.int64))
-            places = places & (before > 0)
-            places[:-1] &= before[1:] > 0
-            places[-1:] = False
-        return places
-
-    def _table(self, n: int) -> tuple[np.ndarray, ...]:
-        """Distinct n-grams asked for, by slice and hash: keys, each asking place's key, times, bounds of slices."""
-        keys, at, times = np.unique(self.grams(n)[self.asked(n)], return_inverse=True, return_counts=True)
-        owner = (keys % np.uint64(self.slices)).astype(np.int64)
-        order = np.argsort(owner, kind="stable")
-        rank = np.empty(len(keys), np.int64)
-        rank[order] = np.arange(len(keys))
-        return keys[order], rank[at], times[order], np.searchsorted(owner[order], np.arange(self.slices + 1))
-
-    def _learn(self, n: int, answers: pa.Table) -> None:
-        """Answers hold counts alone: a slice's are in the order in which the block asked, which it can tell again."""
-        keys, at, _, bounds = self._table(n)
-        counts = np.zeros(len(keys), np.int64)
-        for s, found in zip(answers.column("slice").to_pylist(), answers.column("counts").to_pylist(), strict=True):
-            counts[bounds[s] : bounds[s + 1]] = np.frombuffer(found, "<i8")
-        learned = np.zeros(len(self.words), np.int64)
-        learned[self.asked(n)] = counts[at]
-        self.counts[n] = learned
-
-    def requests(self, n: int) -> Iterator[tuple[int, bytes, bytes]]:
-        keys, _, times, bounds = self._table(n)
-        for s in range(self.slices):
-            a, b = bounds[s], bounds[s + 1]
-            if a < b:
-                yield s, keys[a:b].astype("<u8").tobytes(), times[a:b].astype("<u4").tobytes()
-
-    def scores(self, orders: int, total: int) -> np.ndarray:
-        """The sum of each document's logarithms."""
-        zero = np.zeros(len(self.words), np.int64)
-        s = np.log(np.maximum(self.counts.get(1, zero), 1) / max(total, 1))
-        place = np.repeat(self.sizes, self.sizes) - self.left  # in the document
-        for n in range(2, orders + 1):
-            deep = place >= n - 1
-            count = np.concatenate([np.zeros(n - 1, np.int64), self.counts.get(n, zero)])[: len(zero)]
-            context = np.concatenate([np.zeros(n - 1, np.int64), self.counts.get(n - 1, zero)])[: len(zero)]
-            hit = deep & (count > 0)
-            s = np.where(hit, np.log(np.maximum(count, 1) / np.maximum(context, 1)), np.where(deep, s + np.log(BACKOFF), s))
-        return np.bincount(np.repeat(np.arange(len(self.sizes)), self.sizes), s, len(self.sizes)).astype(np.float64)  # whole numbers without a word
-
-
-def _ask(n: int, slices: int):
-    def run(texts: pa.Table, answers: pa.Table | None) -> pa.Table:
-        if not len(texts):
-            return pa.table({"slice": pa.array([], pa.int32()), "block": pa.array([], pa.int32()), "keys": pa.array([], pa.binary()), "counts": pa.array([], pa.binary())})
-        block = texts.column("block")[0].as_py()
-        rows = list(Block(texts, answers, slices).requests(n))
-        return pa.table(
-            {
-                "slice": pa.array([r[0] for r in rows], pa.int32()),
-                "block": pa.array([block] * len(rows), pa.int32()),
-                "keys": pa.array([r[1] for r in rows], pa.binary()),
-                "counts": pa.array([r[2] for r in rows], pa.binary()),
-            }
-        )
+    words: np.ndarray
+    sizes: np.ndarray
+    text: np.ndarray
+    place: np.ndarray
+    left: np.ndarray
 
-    return run
+
+def _blocks(column: pa.Array) -> Iterator[tuple[int, int, Block]]:
+    for lo, hi in tb.blocks(column):
+        w = tb.words(column.slice(lo, hi - lo))
+        sizes = np.diff(w.offsets)
+        text = np.repeat(np.arange(hi - lo), sizes)
+        place = np.arange(len(text)) - w.offsets[:-1][text]
+        yield lo, hi, Block(tb.hashes(w), sizes, text, place, sizes[text] - place)
 
 
-def _first(ask):
-    """Order 1 knows no counts yet."""
+def _grams(block: Block, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the n-grams that lie in a text, and the places in the block where they begin."""
+    at = np.flatnonzero(block.left >= n)
+    return tb.windows(block.words, n)[at], at
 
-    def run(texts: pa.Table) -> pa.Table:
-        return ask(texts, None)
+
+def _counted(n: int, related: bool):
+    """n-grams and how often they occur in a block; with the (n - 1)-grams that they begin and end with if ``related``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, block in _blocks(tb.as_strings(batch.column("text"))):
+                grams, at = _grams(block, n)
+                types, first, times = np.unique(grams, return_index=True, return_counts=True)
+                columns = [types, times]
+                if related:
+                    lower = tb.windows(block.words, n - 1)
+                    columns += [lower[at[first]], lower[at[first] + 1]]
+                yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], ["gram", "n", "prefix", "suffix"][: len(columns)])
 
     return run
 
 
-def _answer(n: int, least: int):
-    """A slice of the count table of order n: adds up, and joins the totals to each block's n-grams."""
-
-    def run(asked: pa.Table) -> pa.Table:
-        parts = [np.frombuffer(x, "<u8") for x in asked.column("keys").to_pylist()]
-        keys, at = np.unique(np.concatenate(parts), return_inverse=True)
-        totals = np.bincount(at, np.concatenate([np.frombuffer(x, "<u4") for x in asked.column("counts").to_pylist()])).astype(np.int64)
-        sums, out_counts, base = [], [], 0
-        for k, part in enumerate(parts):
-            count = totals[at[base : base + len(part)]]
-            base += len(part)
-            out_counts.append(np.where(count >= least, count, 0).astype("<i8").tobytes())
-            sums.append(int(totals.sum()) if k == 0 else 0)
-        return pa.table(
-            {
-                "n": pa.array([n] * len(parts), pa.int32()),
-                "slice": asked.column("slice"),
-                "block": asked.column("block"),
-                "counts": pa.array(out_counts, pa.binary()),
-                "total": pa.array(sums, pa.int64()),
-            }
-        )
+def _weights(block: Block, n: int, orders: int, at: np.ndarray) -> np.ndarray:
+    """How often the logarithm of each n-gram's count remains: as a word's highest order, less as the context of the next."""
+    place, m = block.place[at] + n - 1, block.sizes[block.text[at]]  # of the last word
+    if n == orders:
+        return np.ones(len(at), np.int64)
+    context = (place + 1 < m) & ((n == orders - 1) | (place == n - 1))
+    return (place == n - 1).astype(np.int64) - context
+
+
+def _asked(n: int, orders: int, plain: bool):
+    """(row, gram, weight) of the texts' n-grams."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.column("row").to_numpy()
+            for lo, _, block in _blocks(tb.as_strings(batch.column("text"))):
+                grams, at = _grams(block, n)
+                weight = np.ones(len(at), np.int64) if plain else _weights(block, n, orders, at)
+                keep = np.flatnonzero(weight)
+                columns = [rows[lo + block.text[at[keep]]], grams[keep].view(np.int64), weight[keep]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["row", "gram", "weight"])
 
     return run
 
 
-def _laid_out(texts: DataFrame, work: Workspace, buckets: int) -> DataFrame:
-    """The texts as a table bucketed by block: they are shuffled here once, and the rounds that read it move n-grams alone."""
-    name = f"tally_blocks_{uuid.uuid4().hex}"
-    texts.repartition(buckets, "block").write.bucketBy(buckets, "block").option("path", work.path("blocks")).saveAsTable(name)
-    work.free_shuffles()
-    return work.spark.table(name)
+def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        column, sizes = tb.as_strings(batch.column("text")), []
+        for lo, hi in tb.blocks(column):
+            sizes.append(np.diff(tb.words(column.slice(lo, hi - lo)).offsets))
+        sizes = pa.array(np.concatenate(sizes) if sizes else np.zeros(0, np.int64), pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), sizes], ["doc_id", "row", "n_words"])
+
+
+def _counts(texts: DataFrame, n: int, related: bool = False) -> DataFrame:
+    """(gram, n), and prefix and suffix if ``related``, of all n-grams of the texts."""
+    schema = "gram long, n long" + ", prefix long, suffix long" * related
+    more = [F.first(c).alias(c) for c in ("prefix", "suffix")] if related else []
+    return texts.select("text").mapInArrow(_counted(n, related), schema).repartition("gram").groupBy("gram").agg(F.sum("n").alias("n"), *more)
 
 
-def score(docs: DataFrame, work: Workspace, *, orders: int = 3, least: int = 2, key: str = "doc_id", text: str = "text", block_bytes: int = 8 << 20, slice_words: int = 1_000_000) -> DataFrame:
+def score(docs: DataFrame, work: Workspace, *, orders: int = 3, least: int = 1, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_words, log_score and mean_log_score of every document."""
     docs = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks, slices = max(16, -(-size // block_bytes)), max(16, size // 5 // slice_words)
-    texts = _laid_out(docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")), work, min(blocks, MOST_BUCKETS))
-    answers = None
+    texts = docs.select(F.xxhash64("doc_id", "text").alias("row"), "text")  # rows that agree in both have one score
+    schema = StructType([docs.schema["doc_id"], *StructType.fromDDL("row long, n_words long")])
+    sizes = work.save(docs.withColumn("row", F.xxhash64("doc_id", "text")).mapInArrow(_sizes, schema), "sizes")
+    total = sizes.agg(F.sum("n_words")).first()[0] or 0
+    sums, below = [], None
     for n in range(1, orders + 1):
-        grouped = texts.select("block", "text").groupBy("block")
-        if answers is None:
-            asked = grouped.applyInArrow(_first(_ask(n, slices)), ROWS)
+        asked = texts.mapInArrow(_asked(n, orders, least > 1), "row long, gram long, weight long")
+        if least <= 1:
+            table = _counts(texts, n).where("n > 1").select("gram", F.log("n").alias("value"))
+            table = work.save(table, f"counts{n}")
         else:
-            asked = grouped.cogroup(answers.groupBy("block")).applyInArrow(_ask(n, slices), ROWS)
-        found = asked.groupBy("slice").applyInArrow(_answer(n, least), "n int, slice int, block int, counts binary, total long")
-        found = work.save(found, f"counts{n}")
-        answers = found if answers is None else answers.unionAll(found)
+            table = _counts(texts, n, n > 1).where(F.col("n") >= least)
+            if n == 1:  # a rare word counts as one that occurs once
+                table = table.select("gram", "n", F.log(F.col("n") / total).alias("score"), F.log("n").alias("value"))
+            else:
+                table = table.join(below.select(F.col("gram").alias("prefix"), F.col("n").alias("context")), "prefix")
+                table = table.join(below.select(F.col("gram").alias("suffix"), F.col("score").alias("shorter")), "suffix")
+                table = table.select("gram", "n", F.log(F.col("n") / F.col("context")).alias("score"), "shorter")
+                table = table.select("gram", "n", "score", (F.col("score") - F.col("shorter") - log(BACKOFF)).alias("value"))
+            below = work.save(table, f"counts{n}")
+            table = below.select("gram", "value")
         work.free_shuffles()
-    total = answers.where("n = 1").agg(F.sum("total")).first()[0] or 0
-    schema = StructType([docs.schema["doc_id"], *StructType.fromDDL("n_words long, log_score double")])
-
-    def run(mine: pa.Table, known: pa.Table) -> pa.Table:
-        if not len(mine):
-            return pa.table({"doc_id": mine.column("doc_id"), "n_words": pa.array([], pa.int64()), "log_score": pa.array([], pa.float64())})
-        block = Block(mine, known, slices)
-        return pa.table({"doc_id": mine.column("doc_id"), "n_words": pa.array(block.sizes), "log_score": pa.array(block.scores(orders, total))})
-
-    out = texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
-    return out.withColumn("mean_log_score", F.col("log_score") / F.when(F.col("n_words") > 0, F.col("n_words")))
+        found = asked.join(table, "gram").groupBy("row").agg(F.sum(F.col("weight") * F.col("value")).alias("found"))
+        sums.append(work.save(found, f"sums{n}"))
+        work.free_shuffles()
+    m, found = F.col("n_words"), sizes.select("row", F.lit(0.0).alias("found"), F.lit(1).alias("rows"))
+    for s in sums:
+        found = found.unionAll(s.select("row", "found", F.lit(0).alias("rows")))
+    found = found.groupBy("row").agg(F.sum("found").alias("found"), F.sum("rows").alias("rows"))
+    score = F.col("found") / F.col("rows")  # repeated rows have asked once each
+    if least <= 1:
+        score = F.when(m > 0, score - log(max(total, 1))).otherwise(0.0)
+    else:  # the score of backing off at every word
+        shorter = sum((F.greatest(m - n + 1, F.lit(0)) for n in range(2, orders + 1)), F.lit(0))
+        score = score + shorter * log(BACKOFF) - m * log(max(total, 1))
+    out = sizes.join(found, "row").select("doc_id", "n_words", score.alias("log_score"))
+    return out.withColumn("mean_log_score", F.col("log_score") / F.when(m > 0, m))

@@ -51,5 +51,25 @@ c AS (
 SELECT source, lang, tokenizer, count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_tokens FROM c GROUP BY ALL""".replace("\\\\", "\\")
 
 
+OP8 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+e AS (SELECT r, unnest(w) AS z, unnest(range(len(w))) AS i FROM d),
+g AS (SELECT r, i, z, lag(z, 1) OVER p AS y, lag(z, 2) OVER p AS x FROM e WINDOW p AS (PARTITION BY r ORDER BY i)),
+c1 AS (SELECT z, count(*) AS n FROM g GROUP BY z),
+c2 AS (SELECT y, z, count(*) AS n FROM g WHERE i > 0 GROUP BY y, z),
+c3 AS (SELECT x, y, z, count(*) AS n FROM g WHERE i > 1 GROUP BY x, y, z),
+s1 AS (SELECT g.r, g.i, ln(c1.n::DOUBLE / (SELECT count(*) FROM g)) AS s FROM g JOIN c1 USING (z)),
+s2 AS (SELECT g.r, g.i, CASE WHEN c2.n > 0 THEN ln(c2.n::DOUBLE / c1.n) ELSE ln(0.4) + s1.s END AS s
+       FROM g JOIN s1 USING (r, i) LEFT JOIN c2 ON c2.y = g.y AND c2.z = g.z LEFT JOIN c1 ON c1.z = g.y WHERE g.i > 0),
+s3 AS (SELECT g.r, g.i, CASE WHEN c3.n > 0 THEN ln(c3.n::DOUBLE / c2.n) ELSE ln(0.4) + s2.s END AS s
+       FROM g JOIN s2 USING (r, i) LEFT JOIN c3 ON c3.x = g.x AND c3.y = g.y AND c3.z = g.z LEFT JOIN c2 ON c2.y = g.x AND c2.z = g.y WHERE g.i > 1),
+t AS (SELECT r, sum(s) AS s FROM (SELECT r, s FROM s1 WHERE i = 0 UNION ALL SELECT r, s FROM s2 WHERE i = 1 UNION ALL SELECT r, s FROM s3) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, round(coalesce(s, 0), 4) AS log_score, round(s / len(w), 6) AS mean_log_score
+FROM d LEFT JOIN t USING (r)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_token_counts": OP2, "op4_quality_rules": OP4}
+    return {"op2_token_counts": OP2, "op4_quality_rules": OP4, "op8_lm_scoring": OP8}

@@ -68,7 +68,9 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return backoff.score(_table(spark, sf_dir, "documents"), Workspace(spark, "op8"), least=1)  # every n-gram counts
+    """Sums of logarithms are rounded, since they depend on the order of addition in their last digits."""
+    out = backoff.score(_table(spark, sf_dir, "documents"), Workspace(spark, "op8"))
+    return out.select("doc_id", "n_words", F.round("log_score", 4).alias("log_score"), F.round("mean_log_score", 6).alias("mean_log_score"))
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

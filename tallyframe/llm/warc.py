@@ -59,16 +59,19 @@ def _record(date: str) -> Column:
     )
 
 
-def deduplicated(pages: DataFrame, least_bytes: int = 100) -> DataFrame:
+def deduplicated(pages: DataFrame, least_bytes: int = 100, most_broadcast: int = 500_000) -> DataFrame:
     """``pages`` with payload_bytes, payload_digest, record_type and refers_to.
 
-    Only payloads that occur twice are joined back, so most rows never meet a partner; a payload of a third of all rows is
-    summed map-side, and the join can split it.
+    A payload of a third of all rows is summed map-side. Only payloads that occur twice are joined back: up to
+    ``most_broadcast`` of them (about 100 bytes each) by a broadcast, so that no payload moves, and more by a shuffle, which
+    can split a frequent payload.
     """
     html = F.coalesce(F.col("html"), F.lit(""))
     pages = pages.select("page_id", "url", "html", F.octet_length(html).cast("long").alias("payload_bytes"), F.sha2(html, 256).alias("payload_digest"))
     seen = pages.where(F.col("payload_bytes") >= least_bytes).groupBy("payload_digest", "payload_bytes").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
-    out = pages.join(seen.where("n > 1").drop("n"), ["payload_digest", "payload_bytes"], "left")
+    seen = seen.where("n > 1").drop("n")
+    repeated = seen.limit(most_broadcast + 1).count()
+    out = pages.join(F.broadcast(seen) if repeated <= most_broadcast else seen, ["payload_digest", "payload_bytes"], "left")
     revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     return out.withColumns({"record_type": F.when(revisit, "revisit").otherwise("response"), "refers_to": F.when(revisit, F.col("first"))}).drop("first")
 

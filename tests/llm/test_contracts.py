@@ -102,25 +102,34 @@ def test_links_of_repeated_and_null_keys(spark):
     assert sorted(map(tuple, got), key=str) == sorted([(1, 2, 1), (1, 2, 1), (1, 1, 1), (None, 2, 1), (2, 0, 2), (None, 0, None), (3, 1, 1)], key=str)
 
 
-def test_backoff(spark, docs, texts):
+@pytest.mark.parametrize("least", [1, 2, 3])
+def test_backoff(spark, docs, texts, least):
     words = [WORD.findall(low(t)) for t in texts]
     counts = [Counter(tuple(w[i : i + n]) for w in words for i in range(len(w) - n + 1)) for n in (1, 2, 3)]
     total = sum(map(len, words))
 
     def one(gram):
         if len(gram) == 1:
-            return log(max(counts[0][gram], 1) / total) if counts[0][gram] >= 2 else log(1 / total)
-        if counts[len(gram) - 1][gram] >= 2:
+            return log(counts[0][gram] / total) if counts[0][gram] >= least else log(1 / total)
+        if counts[len(gram) - 1][gram] >= least:
             return log(counts[len(gram) - 1][gram] / counts[len(gram) - 2][gram[:-1]])
         return log(0.4) + one(gram[1:])
 
-    got = {r["doc_id"]: r for r in backoff.score(docs, Workspace(spark, "t")).collect()}
+    got = {r["doc_id"]: r for r in backoff.score(docs, Workspace(spark, "t"), least=least).collect()}
     assert len(got) == len(texts)
     for i, w in enumerate(words):
         assert got[i]["n_words"] == len(w)
         assert got[i]["log_score"] == pytest.approx(sum(one(tuple(w[max(0, k - 2) : k + 1])) for k in range(len(w))), abs=1e-6)
 
 
+def test_backoff_of_repeated_and_null_rows(spark):
+    rows = [(1, "a b c d"), (1, "a b c d"), (None, "a b"), (None, None), (2, "z")]
+    got = backoff.score(spark.createDataFrame(rows, "doc_id long, text string"), Workspace(spark, "t")).collect()
+    twice = log(3 / 11) + log(3 / 3) + log(2 / 3) + log(2 / 2)
+    want = [(1, 4, twice), (1, 4, twice), (None, 2, log(3 / 11)), (None, 0, 0.0), (2, 1, log(1 / 11))]
+    assert sorted((str(r[0]), r[1], round(r[2], 9)) for r in got) == sorted((str(a), b, round(c, 9)) for a, b, c in want)
+
+
 def test_decontaminate(spark, docs, texts):
     rng = random.Random(1)
     items = [("a", " ".join(texts[-1].split()[3:20])), ("b", texts[8]), ("c", "one"), ("d", None), ("e", ""), ("f", "w1 w2 never seen")]
