@@ -9,14 +9,22 @@ Reading (format "tally_warc"): whole files are dealt to partitions of about equa
 target_uri and payload_digest are pushed down: a record's headers are parsed first, and a block that a filter excludes, or
 whose payload isn't wanted (option payload = "false"), is skipped by its length without being decoded.
 
+Foreign archives: members compressed with gzip (*.gz) are read in sequence; payloads are verified where their digest is one
+of DIGESTS and left alone where it is absent or another; a block without an HTTP head is all payload; digests other than
+SHA-256 keep the name of their algorithm. A store is one that pyarrow or Spark knows (s3a:// is read as s3://).
+
 Defined results: a null html is an empty payload; a null url leaves out WARC-Target-URI; line breaks in a url are escaped;
-rows with the same page_id and payload are each a response if that id is the smallest; a null page_id has no id header and
-is a revisit if another row has an id; an empty table writes no records. Extra columns are not archived.
+rows with the same page_id and payload are each a response if that id is the smallest; a null page_id has an id of its
+digest and url, reads back as null and is a revisit if another row has an id; an empty table writes no records. Extra columns
+are not archived.
 """
 
 from __future__ import annotations
 
+import base64
+import gzip
 import hashlib
+import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -26,6 +34,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition, StringStartsWith
 from pyspark.sql.types import StructType
 
+from tallyframe.llm.work import Workspace
+
 RECORD_SEPARATOR = "\r\n\r\n"
 SCHEMA = "page_id long, record_type string, target_uri string, date string, refers_to long, payload_bytes long, payload_digest string, payload string"
 
@@ -46,7 +56,7 @@ def _record(date: str) -> Column:
     return F.concat(
         F.lit("WARC/1.1\r\n"),
         header("WARC-Type", kind),
-        header("WARC-Record-ID", F.coalesce(named(F.col("page_id")), F.concat(F.lit("<urn:uuid:"), F.uuid(), F.lit(">")))),
+        header("WARC-Record-ID", F.coalesce(named(F.col("page_id")), F.concat(F.lit("<urn:sha256:"), F.sha2(F.concat_ws(" ", "payload_digest", "url"), 256), F.lit(">")))),
         header("WARC-Date", F.lit(date)),
         header("WARC-Target-URI", uri),
         header("WARC-Profile", F.when(kind == "revisit", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"))),
@@ -69,7 +79,7 @@ def deduplicated(pages: DataFrame, least_bytes: int = 100, most_broadcast: int =
     html = F.coalesce(F.col("html"), F.lit(""))
     pages = pages.select("page_id", "url", "html", F.octet_length(html).cast("long").alias("payload_bytes"), F.sha2(html, 256).alias("payload_digest"))
     seen = pages.where(F.col("payload_bytes") >= least_bytes).groupBy("payload_digest", "payload_bytes").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
-    seen = seen.where("n > 1").drop("n")
+    seen = Workspace(pages.sparkSession, "warc").save(seen.where("n > 1").drop("n"), "repeated")
     repeated = seen.limit(most_broadcast + 1).count()
     out = pages.join(F.broadcast(seen) if repeated <= most_broadcast else seen, ["payload_digest", "payload_bytes"], "left")
     revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
@@ -87,13 +97,29 @@ class _Part(InputPartition):
         self.files = files
 
 
+#: Names of payload digests that are verified; SHA-1 and MD5 may be written in base 32.
+DIGESTS = {"sha1": hashlib.sha1, "sha256": hashlib.sha256, "sha512": hashlib.sha512, "md5": hashlib.md5}
+
+
+def _intact(payload: bytes, digest: str | None) -> bool:
+    """Whether the payload has this digest ("algorithm:value"); unknown algorithms pass."""
+    name, _, value = (digest or "").partition(":")
+    algorithm = DIGESTS.get(name.lower().replace("-", ""))
+    if algorithm is None:
+        return True
+    found = algorithm(payload)
+    return value.lower() == found.hexdigest() or value.upper().rstrip("=") == base64.b32encode(found.digest()).decode().rstrip("=")
+
+
 def _headers(data: bytes, at: int) -> tuple[dict[str, str], int]:
-    """Named fields from ``at`` to the empty line, and where what follows begins."""
-    end = data.index(b"\r\n\r\n", at)
+    """Named fields from ``at`` to the empty line, and where what follows begins; no fields where there is no such line."""
+    end = data.find(b"\r\n\r\n", at)
+    if end < 0:
+        return {}, at
     fields = {}
     for line in data[at:end].split(b"\r\n")[1:]:
         name, _, value = line.partition(b":")
-        fields[name.strip().lower().decode()] = value.strip().decode()
+        fields[name.strip().lower().decode("utf-8", "replace")] = value.strip().decode("utf-8", "replace")
     return fields, end + 4
 
 
@@ -101,21 +127,23 @@ class _Input:
     """A forward reader that skips without reading where it can."""
 
     def __init__(self, file, chunk: int = 1 << 20):
-        self.file, self.chunk, self.size = file, chunk, file.size()
+        self.file, self.chunk = file, chunk
         self.start, self.data = 0, b""
 
     def need(self, at: int, n: int) -> bytes:
         """At least n bytes from ``at`` on, fewer at the end of the file."""
         if not (self.start <= at and at + n <= self.start + len(self.data)):
             self.file.seek(at)
-            self.start, self.data = at, self.file.read(min(self.size - at, max(n, self.chunk)))
+            self.start, self.data = at, self.file.read(max(n, self.chunk))
         return self.data[at - self.start :]
 
-    def headers(self, at: int) -> bytes:
+    def headers(self, at: int, most: int | None = None) -> bytes:
+        """Bytes from ``at`` on that reach beyond an empty line, if there is one in ``most`` bytes."""
         n = 4096
         while True:
-            data = self.need(at, min(n, self.size - at))
-            if b"\r\n\r\n" in data or n >= self.size - at:
+            data = self.need(at, n if most is None else min(n, most))
+            data = data if most is None else data[:most]
+            if b"\r\n\r\n" in data or len(data) < n:
                 return data
             n *= 4
 
@@ -143,6 +171,8 @@ class WarcReader(DataSourceReader):
     def _store(self):
         if "://" not in self.path and not self.path.startswith("file:"):
             return pa.fs.LocalFileSystem(), self.path
+        if re.match("s3[an]://", self.path):
+            return pa.fs.FileSystem.from_uri(re.sub("^s3[an]", "s3", self.path))
         return pa.fs.FileSystem.from_uri(self.path if "://" in self.path else "file://" + self.path[5:])
 
     def partitions(self) -> list[InputPartition]:
@@ -171,7 +201,7 @@ class WarcReader(DataSourceReader):
         rows, size = [], 0
         for path in partition.files:
             with store.open_input_file(path) as file:
-                for row in self._records(_Input(file)):
+                for row in self._records(_Input(gzip.GzipFile(fileobj=file) if path.endswith(".gz") else file)):
                     rows.append(row)
                     size += len(row["payload"] or "") + 200
                     if size > 8 << 20:
@@ -181,18 +211,21 @@ class WarcReader(DataSourceReader):
 
     def _records(self, source: _Input) -> Iterator[dict]:
         at = 0
-        while at < source.size:
+        while source.need(at, 1):
             fields, begin = _headers(source.headers(at), 0)
+            if "content-length" not in fields or "warc-type" not in fields:
+                raise ValueError(f"no record at byte {at}")
             begin += at
             length = int(fields["content-length"])
             at = begin + length + len(RECORD_SEPARATOR)
+            digest = fields.get("warc-payload-digest") or None
             row = {
                 "page_id": _page(fields.get("warc-record-id")),
                 "record_type": fields["warc-type"],
                 "target_uri": fields.get("warc-target-uri"),
                 "date": fields.get("warc-date"),
                 "refers_to": _page(fields.get("warc-refers-to")),
-                "payload_digest": fields.get("warc-payload-digest", "").removeprefix("sha256:") or None,
+                "payload_digest": digest and digest.removeprefix("sha256:"),
                 "payload_bytes": None,
                 "payload": None,
             }
@@ -202,13 +235,16 @@ class WarcReader(DataSourceReader):
                 yield row
                 continue
             whole = row["record_type"] == "response" and (self.payload or self.verify)
-            block = source.need(begin, length)[:length] if whole else source.headers(begin)
-            http, body = _headers(block, 0)
-            row["payload_bytes"] = int(http["content-length"]) if "content-length" in http else length - body
+            block = source.need(begin, length)[:length] if whole else source.headers(begin, length)
+            if whole and len(block) < length:
+                raise ValueError(f"record {fields.get('warc-record-id')} ends before its length")
+            http, body = _headers(block, 0) if block.startswith(b"HTTP/") else ({}, 0)
+            told = http.get("content-length", "")
+            row["payload_bytes"] = int(told) if told.isdigit() else length - body
             if whole:
                 payload = block[body:]
                 row["payload_bytes"] = len(payload)
-                if self.verify and hashlib.sha256(payload).hexdigest() != row["payload_digest"]:
+                if self.verify and not _intact(payload, digest):
                     raise ValueError(f"record {fields.get('warc-record-id')} has another digest than its payload")
                 row["payload"] = payload.decode("utf-8", "replace") if self.payload else None
             yield row
@@ -227,7 +263,10 @@ class WarcDataSource(DataSource):
 
 
 def read(spark: SparkSession, path: str, **options: str) -> DataFrame:
-    """Records under ``path``; options: payload and verify ("true" or "false"), split_bytes."""
+    """Records under ``path``; options: payload and verify ("true" or "false"), split_bytes.
+
+    Lets the session push filters down to Python sources.
+    """
     spark.dataSource.register(WarcDataSource)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     return spark.read.format("tally_warc").options(**options).load(path)
