@@ -7,8 +7,8 @@ logarithms over its words.
 For each order the texts are exploded into n-grams (64-bit hashes). A block of texts adds up its equal ones before they are
 shuffled by hash into the count table of that order. The count table is joined by hash to the n-grams of the documents, and
 what they find is summed per document, partially before the shuffle. Frequent n-grams send a row a block to the count
-table, and in the join Spark can split them, since each is one row there. Orders are done one after the other, and each
-one's sums are written, so no more than one order's n-grams are on disk at a time.
+table, and in the join Spark can split them, since each is one row there. Orders are done one after the other, the join in
+``passes`` over ranges of hashes, and what each finds is written, so that only a pass's n-grams are on disk at a time.
 
 With ``least`` 1 every n-gram of a document is in the tables, since the document was counted: nothing backs off and the
 logarithms of counts and contexts cancel but for log count(n-gram) - log count(context). So each order asks only for
@@ -58,6 +58,10 @@ def _blocks(column: pa.Array) -> Iterator[tuple[int, int, Block]]:
         yield lo, hi, Block(tb.hashes(w), sizes, text, place, sizes[text] - place)
 
 
+def _part(grams: np.ndarray, passes: int) -> np.ndarray:
+    return (grams >> np.uint64(32)) % np.uint64(passes)
+
+
 def _grams(block: Block, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the n-grams that lie in a text, and the places in the block where they begin."""
     at = np.flatnonzero(block.left >= n)
@@ -90,8 +94,8 @@ def _weights(block: Block, n: int, orders: int, at: np.ndarray) -> np.ndarray:
     return (place == n - 1).astype(np.int64) - context
 
 
-def _asked(n: int, orders: int, plain: bool):
-    """(row, gram, weight) of the texts' n-grams."""
+def _asked(n: int, orders: int, plain: bool, part: int, passes: int):
+    """(row, gram, weight) of the texts' n-grams whose hashes are of one part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -99,7 +103,7 @@ def _asked(n: int, orders: int, plain: bool):
             for lo, _, block in _blocks(tb.as_strings(batch.column("text"))):
                 grams, at = _grams(block, n)
                 weight = np.ones(len(at), np.int64) if plain else _weights(block, n, orders, at)
-                keep = np.flatnonzero(weight)
+                keep = np.flatnonzero((weight != 0) & (_part(grams, passes) == part))
                 columns = [rows[lo + block.text[at[keep]]], grams[keep].view(np.int64), weight[keep]]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["row", "gram", "weight"])
 
@@ -122,7 +126,7 @@ def _counts(texts: DataFrame, n: int, related: bool = False) -> DataFrame:
     return texts.select("text").mapInArrow(_counted(n, related), schema).repartition("gram").groupBy("gram").agg(F.sum("n").alias("n"), *more)
 
 
-def score(docs: DataFrame, work: Workspace, *, orders: int = 3, least: int = 1, key: str = "doc_id", text: str = "text") -> DataFrame:
+def score(docs: DataFrame, work: Workspace, *, orders: int = 3, least: int = 1, passes: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_words, log_score and mean_log_score of every document."""
     docs = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     texts = docs.select(F.xxhash64("doc_id", "text").alias("row"), "text")  # rows that agree in both have one score
@@ -131,7 +135,6 @@ def score(docs: DataFrame, work: Workspace, *, orders: int = 3, least: int = 1,
     total = sizes.agg(F.sum("n_words")).first()[0] or 0
     sums, below = [], None
     for n in range(1, orders + 1):
-        asked = texts.mapInArrow(_asked(n, orders, least > 1), "row long, gram long, weight long")
         if least <= 1:
             table = _counts(texts, n).where("n > 1").select("gram", F.log("n").alias("value"))
             table = work.save(table, f"counts{n}")
@@ -146,10 +149,12 @@ def score(docs: DataFrame, work: Workspace, *, orders: int = 3, least: int = 1,
                 table = table.select("gram", "n", "score", (F.col("score") - F.col("shorter") - log(BACKOFF)).alias("value"))
             below = work.save(table, f"counts{n}")
             table = below.select("gram", "value")
-        work.free_shuffles()
-        found = asked.join(table, "gram").groupBy("row").agg(F.sum(F.col("weight") * F.col("value")).alias("found"))
-        sums.append(work.save(found, f"sums{n}"))
-        work.free_shuffles()
+        for part in range(passes):
+            work.free_shuffles()
+            asked = texts.mapInArrow(_asked(n, orders, least > 1, part, passes), "row long, gram long, weight long")
+            mine = table.where(F.pmod(F.shiftrightunsigned("gram", 32), F.lit(passes)) == part)
+            found = asked.join(mine.hint("shuffle_hash"), "gram").groupBy("row").agg(F.sum(F.col("weight") * F.col("value")).alias("found"))
+            sums.append(work.save(found, f"sums{n}_{part}"))
     m, found = F.col("n_words"), sizes.select("row", F.lit(0.0).alias("found"), F.lit(1).alias("rows"))
     for s in sums:
         found = found.unionAll(s.select("row", "found", F.lit(0).alias("rows")))

@@ -154,7 +154,7 @@ def _met(posted: DataFrame, t: Threshold) -> DataFrame:
 
 def _first_tier(signatures: DataFrame, nodes: DataFrame) -> DataFrame:
     """(token, node, n, at, df) of the tokens that several nodes have in their longest prefixes, in the order of their hashes."""
-    rows = signatures.select("node", "n", F.posexplode("tokens").alias("at", "token")).join(nodes.select("node"), "node")
+    rows = signatures.select("node", "n", "tokens").join(nodes.select("node"), "node").select("node", "n", F.posexplode("tokens").alias("at", "token"))
     shared = rows.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     return rows.join(shared, "token")
 
@@ -197,7 +197,9 @@ def link(docs: DataFrame, work: Workspace, *, percent: int = 75, crowd: int = 64
     work.free_shuffles()
     crowded = tokens.where(F.col("df") > crowd).where(f"at < {t.prefix(1)}").select("node").distinct()
     posted = work.save(_lengthened(tokens, t, crowd).withColumn("tier", F.lit(1)), "posted1")
+    work.free_shuffles()
     lists = work.save(_met(posted, t), "lists1")
+    work.free_shuffles()
     needed = lists.select("node").unionAll(crowded).distinct()
     texts = docs.select("node", "text").join(needed, "node")
     texts = work.save(texts if plain else texts.dropDuplicates(["node"]), "texts")
@@ -205,7 +207,9 @@ def link(docs: DataFrame, work: Workspace, *, percent: int = 75, crowd: int = 64
     second = work.save(_second_tier(texts.join(crowded, "node"), work), "tokens2")
     work.drop("crowded")
     work.drop("tokens")
+    work.free_shuffles()
     posted = work.save(_lengthened(second, t).withColumn("tier", F.lit(2)), "posted2")
+    work.free_shuffles()
     lists = lists.unionAll(_met(posted, t))
     # The node whose shingles most others share is the likeliest centre of a group of copies.
     weights = lists.groupBy("node").agg(F.sum("size").alias("weight"))

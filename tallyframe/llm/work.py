@@ -6,6 +6,7 @@ lost executor costs at most the step that runs and no plan grows with the number
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -14,9 +15,11 @@ from pyspark.sql.types import StructType
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one is set where none is named, as in tests."""
+    """The folder named by ``spark.checkpoint.dir``; a temporary one is set where none is named on a local master, as in tests."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="tallyframe-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -45,5 +48,9 @@ class Workspace:
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
     def free_shuffles(self) -> None:
-        """Lets Spark's cleaner delete the shuffle files of finished steps now instead of at the next full collection."""
+        """Lets Spark's cleaner delete the shuffle files of finished steps now instead of at the next full collection.
+
+        Data frames that no name holds any more can be parts of reference cycles here, which pin their plans in the JVM.
+        """
+        gc.collect()
         self.spark.sparkContext._jvm.System.gc()
