@@ -18,7 +18,7 @@ Equal sets are one node. Large groups of near copies don't become all pairs: in
 one node, the likeliest centre of a group, and a list that lies in one component is done. When the pairs that are left,
 across components, are few for the lists' size, they are formed, counted and those with l matches verified on the whole
 shingle sets. A star's pair is held to l matches among the lists of its centre; one that has fewer waits for the last step.
-Texts and not sets travel to the verification: they have fewer bytes, compressed.
+Texts and not sets travel to the verification: they have fewer bytes, compressed, and need not be kept.
 
 Defined results: null, empty or wordless texts have no shingles and are linked with nothing; a text of fewer than five
 words is one shingle; rows that repeat a document are linked with it; rows with the same key and different texts are
@@ -152,14 +152,28 @@ def _met(posted: DataFrame, t: Threshold) -> DataFrame:
     return posted.join(lists, ["tier", "token"]).where(f"{t.reach()} >= least").drop("least")
 
 
-def _first_tier(signatures: DataFrame, nodes: DataFrame) -> DataFrame:
+def _shared(rows: DataFrame, work: Workspace, name: str, passes: int) -> DataFrame:
+    """``rows`` whose token is also another row's, with df, the number of its rows.
+
+    In passes over parts of the tokens, so that only a part of all rows is shuffled at a time.
+    """
+    out = None
+    for part in range(passes):
+        mine = rows.where(F.pmod("token", F.lit(passes)) == part)
+        several = mine.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+        found = work.save(mine.join(several, "token"), f"{name}{part}")
+        work.free_shuffles()
+        out = found if out is None else out.unionAll(found)
+    return out
+
+
+def _first_tier(signatures: DataFrame, nodes: DataFrame, work: Workspace, passes: int) -> DataFrame:
     """(token, node, n, at, df) of the tokens that several nodes have in their longest prefixes, in the order of their hashes."""
     rows = signatures.select("node", "n", "tokens").join(nodes.select("node"), "node").select("node", "n", F.posexplode("tokens").alias("at", "token"))
-    shared = rows.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-    return rows.join(shared, "token")
+    return _shared(rows, work, "tokens", passes)
 
 
-def _second_tier(texts: DataFrame, work: Workspace) -> DataFrame:
+def _second_tier(texts: DataFrame, work: Workspace, passes: int) -> DataFrame:
     """(token, node, n, at, df) of the tokens that several of these nodes have, rarest first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,13 +186,14 @@ def _second_tier(texts: DataFrame, work: Workspace) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column("node").slice(lo, hi - lo), pa.array(n), tokens], ["node", "n", "tokens"])
 
     rows = work.save(texts.mapInArrow(run, "node long, n long, tokens array<long>"), "crowded").select("node", "n", F.explode("tokens").alias("token"))
-    shared = rows.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-    by_node = rows.join(shared, "token").groupBy("node").agg(F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "token"))).alias("tokens"))
+    shared = _shared(rows, work, "crowd_tokens", passes)
+    work.drop("crowded")
+    by_node = shared.groupBy("node").agg(F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "token"))).alias("tokens"))
     # Tokens that nobody shares come first.
     return by_node.select("node", "n", F.posexplode("tokens").alias("k", "x"), F.size("tokens").alias("shared")).select(F.col("x.token").alias("token"), "node", "n", (F.col("n") - F.col("shared") + F.col("k")).alias("at"), F.col("x.df").alias("df"))
 
 
-def link(docs: DataFrame, work: Workspace, *, percent: int = 75, crowd: int = 64, rounds: int = 6, few: int = 4, key: str = "doc_id", text: str = "text") -> DataFrame:
+def link(docs: DataFrame, work: Workspace, *, percent: int = 75, crowd: int = 256, rounds: int = 6, few: int = 4, passes: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
     """For each row: doc_id, n_shingles and component_id, the smallest key that its links reach.
 
     The last step begins when the pairs left in the lists are ``few`` times the rows of the lists or no longer get fewer by a
@@ -192,29 +207,27 @@ def link(docs: DataFrame, work: Workspace, *, percent: int = 75, crowd: int = 64
     signatures = work.save(docs.mapInArrow(_signatures(t), schema), "signatures")
     classes = signatures.where("n > 0").groupBy("d1", "d2").agg(F.min("node").alias("node"), F.min("doc_id").alias("first"))
     classes = work.save(classes, "classes")
+    keys = work.save(signatures.select("doc_id", "n", "d1", "d2"), "keys")
     once = signatures.where("n > 0") if plain else signatures.where("n > 0").dropDuplicates(["node"])
-    tokens = work.save(_first_tier(once, classes), "tokens")
-    work.free_shuffles()
-    crowded = tokens.where(F.col("df") > crowd).where(f"at < {t.prefix(1)}").select("node").distinct()
-    posted = work.save(_lengthened(tokens, t, crowd).withColumn("tier", F.lit(1)), "posted1")
-    work.free_shuffles()
-    lists = work.save(_met(posted, t), "lists1")
-    work.free_shuffles()
-    needed = lists.select("node").unionAll(crowded).distinct()
-    texts = docs.select("node", "text").join(needed, "node")
-    texts = work.save(texts if plain else texts.dropDuplicates(["node"]), "texts")
-    work.free_shuffles()
-    second = work.save(_second_tier(texts.join(crowded, "node"), work), "tokens2")
-    work.drop("crowded")
-    work.drop("tokens")
-    work.free_shuffles()
-    posted = work.save(_lengthened(second, t).withColumn("tier", F.lit(2)), "posted2")
-    work.free_shuffles()
-    lists = lists.unionAll(_met(posted, t))
+    tokens = _first_tier(once, classes, work, passes)
+    work.drop("signatures")
+    texts = docs.select("node", "text") if plain else docs.select("node", "text").dropDuplicates(["node"])
+    crowded = work.save(tokens.where(F.col("df") > crowd).where(f"at < {t.prefix(1)}").select("node").distinct(), "crowded_nodes")
+    lists = None
+    for tier, most in ((1, crowd), (2, None)):
+        if tier == 2:
+            tokens = _second_tier(texts.join(crowded, "node"), work, passes)
+        posted = work.save(_lengthened(tokens, t, most).withColumn("tier", F.lit(tier)), f"posted{tier}")
+        work.free_shuffles()
+        lists = _met(posted, t) if lists is None else lists.unionAll(_met(posted, t))
+    for part in range(passes):
+        work.drop(f"tokens{part}")
+        work.drop(f"crowd_tokens{part}")
     # The node whose shingles most others share is the likeliest centre of a group of copies.
+    lists = work.save(lists, "met")
     weights = lists.groupBy("node").agg(F.sum("size").alias("weight"))
     lists = work.save(lists.drop("size").join(weights, "node"), "lists")
-    for name in ("posted1", "posted2", "lists1", "tokens2"):
+    for name in ("posted1", "posted2", "met"):
         work.drop(name)
     work.free_shuffles()
 
@@ -260,6 +273,6 @@ def link(docs: DataFrame, work: Workspace, *, percent: int = 75, crowd: int = 64
     linked = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = linked.groupBy("root").agg(F.min("first").alias("component_id"))
     found = work.save(linked.join(smallest, "root").select("d1", "d2", "component_id"), "found")
-    rows = signatures.select("doc_id", F.col("n").alias("n_shingles"), "d1", "d2")
+    rows = keys.select("doc_id", F.col("n").alias("n_shingles"), "d1", "d2")
     whole = rows.where("n_shingles > 0").join(found, ["d1", "d2"]).select("doc_id", "n_shingles", "component_id")
     return whole.unionAll(rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))

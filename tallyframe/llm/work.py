@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,7 +51,10 @@ class Workspace:
     def free_shuffles(self) -> None:
         """Lets Spark's cleaner delete the shuffle files of finished steps now instead of at the next full collection.
 
-        Data frames that no name holds any more can be parts of reference cycles here, which pin their plans in the JVM.
+        Data frames that no name holds any more can be parts of reference cycles here, which pin their plans in the JVM; and a
+        first collection there only finds the jobs' own references gone.
         """
         gc.collect()
         self.spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
+        self.spark.sparkContext._jvm.System.gc()
