@@ -6,11 +6,15 @@ label), so a character costs one search for all labels and only unseen n-grams g
 lowest cross-entropy a character wins. Held-back training documents calibrate the score (a temperature) and, for each
 label, the cross-entropy above which a text is rejected.
 
-Training reads a bounded sample: about ``per_label`` documents of each label, chosen by a hash of the key, and
-``calibrate`` more; ``max_types`` bounds the model, which is sent to all workers. Prediction reads every character.
+Training reads a bounded sample: about ``per_label`` documents of each label, chosen by a hash of key and text, and
+``calibrate`` more. These bounds alone bound the model, which is sent to all workers: every label and every n-gram of the
+sample is learned, also those that occur once, from which the discounts come. Calibration is summed where it is measured: a
+row for each label and step of a histogram comes to the driver, not one for each document. Prediction reads every character.
 
 Defined results: null texts and texts without a letter get ``und``, score 0 and are not accepted; rows with a null label
-train nothing; repeated rows are judged one by one; without any training rows everything is ``und``.
+train nothing, rows with a null key do; repeated rows are judged one by one; of labels with equal cross-entropies the first
+in order of name wins; without any training rows everything is ``und``. Columns of the input named like those that
+``predict`` adds are replaced.
 """
 
 from __future__ import annotations
@@ -30,6 +34,8 @@ from tallyframe.llm import textbytes as tb
 ORDER = 4
 BITS = 16
 UNKNOWN = "und"
+#: Steps of the histogram of cross-entropies, and where it ends: in bits a character.
+STEPS, MOST_BITS = 4096, 32.0
 ADDED = "lang_pred string, score double, cross_entropy double, accepted boolean"
 _SPACE = 32
 _letters: list[np.ndarray] = []
@@ -178,7 +184,7 @@ def cross_entropy(model: Model, column: pa.Array) -> tuple[np.ndarray, np.ndarra
     return out, size
 
 
-def _training_counts(rows: DataFrame, max_types: int) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+def _training_counts(rows: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column, labels = tb.as_strings(batch.column("text")), batch.column("label").to_numpy(zero_copy_only=False)
@@ -191,7 +197,7 @@ def _training_counts(rows: DataFrame, max_types: int) -> dict[str, tuple[np.ndar
                     yield pa.RecordBatch.from_arrays([pa.array([label] * len(types), pa.string()), pa.array(types.astype(np.int64)), pa.array(n, pa.int64())], ["label", "gram", "n"])
 
     found = rows.mapInArrow(count, "label string, gram long, n long").groupBy("label", "gram").agg(F.sum("n").alias("n"))
-    kept = found.orderBy(F.desc("n"), "gram", "label").limit(max_types).toPandas()
+    kept = found.toPandas()
     out = {}
     for label, part in kept.groupby("label"):
         codes, n = part["gram"].to_numpy().astype(np.uint64), part["n"].to_numpy()
@@ -200,45 +206,59 @@ def _training_counts(rows: DataFrame, max_types: int) -> dict[str, tuple[np.ndar
     return out
 
 
-def train(rows: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "lang", per_label: int = 3000, calibrate: int = 1000, max_labels: int = 500, max_types: int = 2_000_000) -> Model | None:
+def train(rows: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "lang", per_label: int = 3000, calibrate: int = 1000) -> Model | None:
     """Fits the models; None if no row has both a label and a text."""
     rows = rows.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(label).cast("string").alias("label"))
-    sizes = {r[0]: r[1] for r in rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(max_labels).collect()}
+    sizes = {r[0]: r[1] for r in rows.groupBy("label").count().orderBy("label").collect()}
     if not sizes:
         return None
-    draw = F.pmod(F.xxhash64("key", F.lit("language id")), F.lit(1_000_000))
-    share = lambda n: F.coalesce(*[F.when(F.col("label") == x, F.lit(min(1_000_000, -(-n * 1_000_000 // m)))) for x, m in sizes.items()], F.lit(0))
-    held = share(calibrate)
-    small = F.coalesce(*[F.when(F.col("label") == x, F.lit(m < 4 * calibrate)) for x, m in sizes.items()], F.lit(False))
-    held = F.when(small, F.least(held, F.lit(250_000))).otherwise(held)  # at most a quarter of a small class
-    counts = _training_counts(rows.where((draw >= held) & (draw < held + share(per_label))), max_types)
+    draw = F.pmod(F.xxhash64("key", "text", F.lit("language id")), F.lit(1_000_000))
+    # Labels of fewer than 8 documents train on all of them; of fewer than 4 * calibrate, a quarter is held back.
+    share = lambda n, m: min(1_000_000, -(-n * 1_000_000 // m))
+    held = {x: 0 if m < 8 else min(250_000, share(calibrate, m)) if m < 4 * calibrate else share(calibrate, m) for x, m in sizes.items()}
+    drawn = rows.sparkSession.createDataFrame([(x, held[x], held[x] + share(per_label, m)) for x, m in sizes.items()], "label string, held int, upto int")
+    rows = rows.join(F.broadcast(drawn), "label")  # a row for each label of the model, which is broadcast itself
+    counts = _training_counts(rows.where((draw >= F.col("held")) & (draw < F.col("upto"))).select("text", "label"))
     if not counts:
         return None
     model = build(counts)
     sent = rows.sparkSession.sparkContext.broadcast(model)
 
+    grid = 2.0 ** np.arange(0, 9)
+
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """For each label its losses at each temperature, and how many documents have which cross-entropy under it."""
         for batch in batches:
-            column = tb.as_strings(batch.column("text"))
+            column, labels = tb.as_strings(batch.column("text")), np.array(batch.column("label").to_pylist(), object)
             for lo, hi in tb.blocks(column):
                 bits, size = cross_entropy(sent.value, column.slice(lo, hi - lo))
-                keep = np.flatnonzero(size)
-                yield pa.RecordBatch.from_arrays([batch.column("label").slice(lo, hi - lo).take(pa.array(keep)).cast(pa.string()), pa.array(list(bits[keep]), pa.list_(pa.float64()))], ["label", "bits"])
-
-    tested = rows.where(draw < held).mapInArrow(measure, "label string, bits array<double>").toPandas()
-    tested = tested[tested["label"].isin(model.labels)]
+                truth = np.searchsorted(model.labels, labels[lo:hi].astype(str))
+                keep = np.flatnonzero((size > 0) & np.isin(labels[lo:hi], model.labels))
+                bits, truth = bits[keep], truth[keep]
+                rows = np.arange(len(keep))
+                for k, t in enumerate(grid):
+                    yield from _sums("loss", np.full(len(keep), k), -np.log(np.maximum(_posterior(bits, t)[rows, truth], 1e-12)))
+                yield from _sums("limit", truth * STEPS + np.minimum((bits[rows, truth] * STEPS / MOST_BITS).astype(np.int64), STEPS - 1), np.ones(len(keep)))
+
+    tested = rows.where(draw < F.col("held")).select("text", "label").mapInArrow(measure, "kind string, place long, amount double").groupBy("kind", "place").agg(F.sum("amount").alias("amount")).toPandas()
     if not len(tested):
         return model
-    bits = np.stack(tested["bits"].to_numpy())
-    truth = np.searchsorted(model.labels, tested["label"].to_numpy())
+    losses = tested[tested["kind"] == "loss"].sort_values("place")
+    counts = np.zeros((len(model.labels), STEPS))
+    found = tested[tested["kind"] == "limit"]
+    counts.reshape(-1)[found["place"].to_numpy()] = found["amount"].to_numpy()
     limit = np.full(len(model.labels), np.inf)
-    for k in range(len(model.labels)):
-        own = bits[truth == k, k]
-        if len(own):
-            limit[k] = 1.25 * np.quantile(own, 0.999)
-    grid = 2.0 ** np.arange(0, 9)
-    losses = [-np.log(np.maximum(_posterior(bits, t)[np.arange(len(truth)), truth], 1e-12)).mean() for t in grid]
-    return model._replace(limit=limit, temperature=float(grid[int(np.argmin(losses))]))
+    for k in np.flatnonzero(counts.sum(1)):
+        below = np.cumsum(counts[k])
+        limit[k] = 1.25 * (np.searchsorted(below, 0.999 * below[-1]) + 1) * MOST_BITS / STEPS
+    return model._replace(limit=limit, temperature=float(grid[losses["place"].to_numpy()[int(np.argmin(losses["amount"].to_numpy()))]]))
+
+
+def _sums(kind: str, places: np.ndarray, amounts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    at, back = np.unique(places, return_inverse=True)
+    if len(at):
+        columns = [pa.array([kind] * len(at)), pa.array(at, pa.int64()), pa.array(np.bincount(back, amounts))]
+        yield pa.RecordBatch.from_arrays(columns, ["kind", "place", "amount"])
 
 
 def _posterior(bits: np.ndarray, temperature: float) -> np.ndarray:
