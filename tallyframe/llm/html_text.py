@@ -22,7 +22,8 @@ A host's tree meets its pages by a broadcast when all trees together are below a
 
 Defined results: null or empty html gives an empty text; pages without a host share the host ''; repeated pages count once
 in the tree and are extracted each; of nodes seen on fewer than three pages of a host the tree knows nothing: their text is
-kept unless named or outside of a marked main part.
+kept unless named or outside of a marked main part. Declarations are skipped as browsers do,
+so no page fails: a comment without an end reaches to the end of the page. Extra columns pass through; a column called text is replaced, and names with a leading "_tree_" are refused.
 """
 
 from __future__ import annotations
@@ -71,12 +72,16 @@ HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 LONG = 200
 
 REMOVED, OPEN = 0, -1
+#: A path of so many characters goes on under its hash, so that deep nesting costs no more than its depth.
+LONG_PATH = 2000
 #: Where a text is: outside of a main part, in one below a named branch, in another one.
 OUT, WRAPPED, MAIN = range(3)
 #: Kinds of observations: a text outside of a main part, a child sequence, a text inside of one, a page with a text.
 TEXT, SEQUENCE, INSIDE, PRESENT = range(4)
 _GAP = re.compile(r"\s+")
 _DIGITS = re.compile(r"\d+")
+#: Markup that browsers skip: a comment without an end, to the end of the page, and a marked section, to its first ">".
+_DECLARED = re.compile(r"<(script|style)\b.*?</\1\s*>|<!--(?:-?>|.*?--!?>)|(?P<gone><!--.*\Z|<!\[[^>]*(?:>|\Z))", re.S | re.I)
 
 
 def _hash(text: str) -> int:
@@ -162,7 +167,7 @@ class Page(html.parser.HTMLParser):
         named = dict(attrs)
         label = f"{named.get('class') or ''} {named.get('id') or ''}"
         style = _DIGITS.sub("0", f"{tag}.{'.'.join(sorted(label.split()))}")
-        path = f"{above.path}/{style}" if len(self.stack) < 64 else above.path
+        path = f"{above.path}/{style}" if len(above.path) < LONG_PATH else f"{_hash(above.path):x}/{style}"  # the same for all pages
         state = above.state
         tokens = named.get("class") or "" if tag in HEADINGS else label
         telling = tag not in ("html", "body") and not REMOVED_NAMES.isdisjoint(tokens.lower().split())
@@ -218,7 +223,6 @@ class Page(html.parser.HTMLParser):
         self.parts.append(data)
 
     def finish(self) -> Page:
-        self.close()
         while len(self.stack) > 1:
             self._pop()
         self._flush()
@@ -226,8 +230,15 @@ class Page(html.parser.HTMLParser):
 
 
 def parse(source: str | None, removed: frozenset[str] = frozenset()) -> Page:
+    source = _DECLARED.sub(lambda m: "" if m["gone"] else m[0], source or "")
     page = Page(removed)
-    page.feed(source or "")
+    try:
+        page.feed(source)
+        page.close()
+    except AssertionError:  # what else Python's parser takes for a declaration and doesn't know is text
+        page = Page(removed)
+        page.feed(source.replace("<!", "&lt;!"))
+        page.close()
     return page.finish()
 
 
@@ -318,7 +329,7 @@ def _low(threshold: float, decay: float, outside: float):
     return run
 
 
-def style_tree(pages: DataFrame, *, threshold: float = 0.2, decay: float = 0.9, outside: float = 0.5) -> DataFrame:
+def style_tree(pages: DataFrame, work: Workspace, *, threshold: float = 0.2, decay: float = 0.9, outside: float = 0.5) -> DataFrame:
     """(host, removed, trusted): for each host the branches to remove and the nodes whose texts stay against a prior.
 
     ``pages`` has host and html.
@@ -328,6 +339,7 @@ def style_tree(pages: DataFrame, *, threshold: float = 0.2, decay: float = 0.9,
     seen = once.select("host", F.inline("seen")).groupBy("host", "path", "kind", "value").agg(F.count("*").alias("n"))
     weight = F.when(F.col("kind") == TEXT, F.col("n")).when(F.col("kind") == INSIDE, 1)
     shapes = F.when(F.col("kind") == SEQUENCE, F.col("n"))
+    seen = work.save(seen, "seen")
     kinds = seen.groupBy("host", "path").agg(
         F.sum(weight).alias("texts"),
         F.sum(weight * F.log("n")).alias("text_logs"),
@@ -348,22 +360,27 @@ def style_tree(pages: DataFrame, *, threshold: float = 0.2, decay: float = 0.9,
 
 def extract(pages: DataFrame, work: Workspace, *, url: str = "url", source: str = "html", broadcast_bytes: int = 32 << 20, salts: int = 32) -> DataFrame:
     """``pages`` with text, the main text of each page, in place of its html."""
-    pages = pages.drop("text", "host", "removed", "trusted").withColumn("host", F.coalesce(F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)), F.lit("")))
-    tree = work.save(style_tree(pages.select("host", F.col(source).alias("html"))).where("size(removed) + size(trusted) > 0"), "tree")
+    if clash := [c for c in pages.columns if c.startswith("_tree_")]:
+        raise ValueError(f"reserved column names: {clash}")
+    host = F.coalesce(F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
+    tree = work.save(style_tree(pages.select(host.alias("host"), F.col(source).alias("html")), work).where("size(removed) + size(trusted) > 0"), "tree")
     size = tree.agg(F.sum(F.length("host") + F.aggregate(F.concat("removed", "trusted"), F.lit(0), lambda s, x: s + F.length(x)) + 64)).first()[0] or 0
+    kept = [c for c in pages.columns if c not in (source, "text")]
+    tree = tree.select(F.col("host").alias("_tree_host"), F.col("removed").alias("_tree_removed"), F.col("trusted").alias("_tree_trusted"))
+    pages = pages.select(*[F.col(f"`{c}`") for c in kept], F.col(source).alias("_tree_html"), host.alias("_tree_host"))
     if size <= broadcast_bytes:
-        joined = pages.join(F.broadcast(tree), "host", "left")
+        joined = pages.join(F.broadcast(tree), "_tree_host", "left")
     else:
-        tree = tree.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        joined = pages.withColumn("_salt", F.pmod(F.xxhash64(source), F.lit(salts)).cast("int")).join(tree, ["host", "_salt"], "left").drop("_salt")
-    joined = joined.select(*[c for c in pages.columns if c not in ("host", source)], F.col(source).alias("_html"), "removed", "trusted")
-    schema = StructType([*[f for f in joined.schema if f.name not in ("_html", "removed", "trusted")], StructField("text", StringType())])
+        tree = tree.withColumn("_tree_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        joined = pages.withColumn("_tree_salt", F.pmod(F.xxhash64("_tree_html"), F.lit(salts)).cast("int")).join(tree, ["_tree_host", "_tree_salt"], "left")
+    lists = ("_tree_html", "_tree_removed", "_tree_trusted")
+    joined = joined.select(*[F.col(f"`{c}`") for c in kept], *lists)
+    schema = StructType([*[f for f in joined.schema if f.name not in lists], StructField("text", StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = [batch.column(c).to_pylist() for c in ("_html", "removed", "trusted")]
-            texts = [main_text(h, frozenset(r or ()), frozenset(t or ())) for h, r, t in zip(*lists, strict=True)]
-            keep = [n for n in batch.schema.names if n not in ("_html", "removed", "trusted")]
-            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in keep], pa.array(texts, pa.string())], [*keep, "text"])
+            columns = [batch.column(c).to_pylist() for c in lists]
+            texts = [main_text(h, frozenset(r or ()), frozenset(t or ())) for h, r, t in zip(*columns, strict=True)]
+            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in kept], pa.array(texts, pa.string())], [*kept, "text"])
 
     return joined.mapInArrow(run, schema)
