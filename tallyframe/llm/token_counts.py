@@ -11,9 +11,10 @@ half-way is written anew.
 Groups are summed map-side, so a source with a third of all rows sends one row a task. The ledger is joined to a batch's
 deletes and revisions by a hash of the document, never collected.
 
-Defined results: null sources and languages are groups of their own; null texts count 0 tokens; an insert of a document
-that is present is a revision, a delete of an absent one nothing; a batch may name a document and tokenizer once (repeated
-identical rows count once). Extra columns are ignored.
+Defined results: null sources and languages are groups of their own; null texts count 0 tokens; a null doc_id is a document
+like others; an insert of a document that is present is a revision, a delete of an absent one nothing. A batch can name a
+document and tokenizer several times: of its rows one counts, a delete last, else the one with the most tokens, then the
+greatest source and language. An empty batch is committed and changes nothing. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -90,15 +91,17 @@ class TokenRollup:
         if self._exists(f"{self.path}/rollup/batch={batch}"):
             return False
         if not self._exists(f"{self.path}/ledger/batch={batch}"):
-            changes = changes.select("op", "doc_id", *GROUP, "n_tokens").distinct()
+            row = F.struct((F.col("op") != "delete").alias("kept"), "n_tokens", "source", "lang", "op")
+            changes = changes.groupBy("doc_id", "tokenizer").agg(F.max(row).alias("row")).select("row.op", "doc_id", "row.source", "row.lang", "tokenizer", "row.n_tokens")
             done = changes.where("op <> 'delete'").select("doc_id", *GROUP, F.lit(1).cast("long").alias("docs"), F.col("n_tokens").alias("tokens"))
             if not self._exists(f"{self.path}/ledger"):
                 self._publish(done, "ledger", batch)  # the first batch undoes nothing
                 return self._roll(batch)
-            held = self.ledger(without=batch)
+            # Only the ledger rows of the batch's documents are added up.
+            named = changes.select(F.col("doc_id").alias("named_id"), F.col("tokenizer").alias("named_tokenizer"))
+            held = self.ledger(without=batch).join(named, F.col("doc_id").eqNullSafe(F.col("named_id")) & (F.col("tokenizer") == F.col("named_tokenizer")), "left_semi")
             held = held.groupBy("doc_id", *GROUP).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).where("docs <> 0 OR tokens <> 0")
-            named = changes.select("doc_id", "tokenizer").distinct()
-            undone = held.join(named, ["doc_id", "tokenizer"]).select("doc_id", *GROUP, (-F.col("docs")).alias("docs"), (-F.col("tokens")).alias("tokens"))
+            undone = held.select("doc_id", *GROUP, (-F.col("docs")).alias("docs"), (-F.col("tokens")).alias("tokens"))
             self._publish(undone.unionAll(done), "ledger", batch)
         return self._roll(batch)
 
