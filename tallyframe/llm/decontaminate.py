@@ -13,6 +13,7 @@ items without an id have no windows; repeated rows are judged one by one; an emp
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -29,6 +30,10 @@ WINDOW = 13
 ADDED = "n_words long, n_hit long, spans array<struct<first_word:int,end_word:int>>, items array<string>"
 
 
+#: Characters of benchmark text whose phrases are made at once.
+BLOCK_TEXT = 8 << 20
+
+
 class Phrases(NamedTuple):
     """Distinct windows by width, over the sorted word hashes of the benchmark, and the items that hold each window."""
 
@@ -140,16 +145,22 @@ def search(column: pa.Array, wanted: Phrases) -> Hits:
 def find(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", window: int = WINDOW, block_items: int = 20_000, max_bytes: int = 256 << 20) -> DataFrame:
     """``docs`` with n_words, n_hit, spans (merged, in words) and items (ids, sorted as strings).
 
-    The benchmark may have ``max_bytes`` of text at most; it is searched in blocks of ``block_items`` items.
+    The benchmark may have ``max_bytes`` of text at most, since it is sent to all workers; a larger one is refused, and is searched in
+    several calls. It is searched in blocks of ``block_items`` items or BLOCK_TEXT characters.
     """
     benchmark = benchmark.select("item_id", "text")
     size = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     if size > max_bytes:
         raise ValueError(f"the benchmark has {size} bytes; find() takes at most {max_bytes}")
-    rows = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").orderBy("item_id").collect()
-    groups = [rows[i : i + block_items] for i in range(0, len(rows), block_items)]
-    context = docs.sparkSession.sparkContext
-    sent = [context.broadcast(phrases([r[0] for r in g], [r[1] for r in g], window)) for g in groups]
+    rows = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").orderBy("item_id")
+    context, sent, group, held = docs.sparkSession.sparkContext, [], [], 0
+    for r in itertools.chain(rows.toLocalIterator(), [None]):  # a group's phrases are the most that the driver holds
+        if group and (r is None or len(group) == block_items or held > BLOCK_TEXT):
+            sent.append(context.broadcast(phrases([g[0] for g in group], [g[1] for g in group], window)))
+            group, held = [], 0
+        if r is not None:
+            group.append(r)
+            held += len(r[1])
     added = StructType.fromDDL(ADDED)
     docs = docs.drop(*added.names)
     schema = StructType([*docs.schema, *added])
