@@ -75,11 +75,12 @@ def _counted(n: int, related: bool):
         for batch in batches:
             for _, _, block in _blocks(tb.as_strings(batch.column("text"))):
                 grams, at = _grams(block, n)
-                types, first, times = np.unique(grams, return_index=True, return_counts=True)
-                columns = [types, times]
                 if related:
+                    types, first, times = np.unique(grams, return_index=True, return_counts=True)
                     lower = tb.windows(block.words, n - 1)
-                    columns += [lower[at[first]], lower[at[first] + 1]]
+                    columns = [types, times, lower[at[first]], lower[at[first] + 1]]
+                else:
+                    columns = list(np.unique(grams, return_counts=True))
                 yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], ["gram", "n", "prefix", "suffix"][: len(columns)])
 
     return run
@@ -149,10 +150,11 @@ def score(docs: DataFrame, work: Workspace, *, orders: int = 3, least: int = 1,
                 table = table.select("gram", "n", "score", (F.col("score") - F.col("shorter") - log(BACKOFF)).alias("value"))
             below = work.save(table, f"counts{n}")
             table = below.select("gram", "value")
-        for part in range(passes):
+        parts = 1 if n == 1 and orders > 1 and least <= 1 else passes  # texts of a single word are few
+        for part in range(parts):
             work.free_shuffles()
-            asked = texts.mapInArrow(_asked(n, orders, least > 1, part, passes), "row long, gram long, weight long")
-            mine = table.where(F.pmod(F.shiftrightunsigned("gram", 32), F.lit(passes)) == part)
+            asked = texts.mapInArrow(_asked(n, orders, least > 1, part, parts), "row long, gram long, weight long")
+            mine = table.where(F.pmod(F.shiftrightunsigned("gram", 32), F.lit(parts)) == part)
             found = asked.join(mine.hint("shuffle_hash"), "gram").groupBy("row").agg(F.sum(F.col("weight") * F.col("value")).alias("found"))
             sums.append(work.save(found, f"sums{n}_{part}"))
     m, found = F.col("n_words"), sizes.select("row", F.lit(0.0).alias("found"), F.lit(1).alias("rows"))

@@ -149,7 +149,7 @@ def _lengthened(tokens: DataFrame, t: Threshold, most: int | None = None) -> Dat
 def _met(posted: DataFrame, t: Threshold) -> DataFrame:
     """``posted`` without the tokens with which a node can find nobody."""
     lists = posted.groupBy("tier", "token").agg(F.count("*").alias("size"), F.min("n").alias("least")).where("size > 1")
-    return posted.join(lists, ["tier", "token"]).where(f"{t.reach()} >= least").drop("least")
+    return posted.join(lists.hint("shuffle_hash"), ["tier", "token"]).where(f"{t.reach()} >= least").drop("least")
 
 
 def _shared(rows: DataFrame, work: Workspace, name: str, passes: int) -> DataFrame:
@@ -161,7 +161,7 @@ def _shared(rows: DataFrame, work: Workspace, name: str, passes: int) -> DataFra
     for part in range(passes):
         mine = rows.where(F.pmod("token", F.lit(passes)) == part)
         several = mine.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-        found = work.save(mine.join(several, "token"), f"{name}{part}")
+        found = work.save(mine.join(several.hint("shuffle_hash"), "token"), f"{name}{part}")
         work.free_shuffles()
         out = found if out is None else out.unionAll(found)
     return out
