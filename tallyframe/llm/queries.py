@@ -18,7 +18,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))  # a null key has no remainder
     model = language_id.train(docs.where(~held_out).select("doc_id", "text", "lang"))
     out = language_id.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
     return out.select("doc_id", "held_out", "lang_pred", "score", "accepted")

@@ -215,6 +215,117 @@ def test_rollup(spark, docs, tmp_path):
     assert [tuple(r) for r in rollup.totals().collect()] == [("s", "fr", "t", 1, 6)]
 
 
+def test_rollup_of_null_and_repeated_documents(spark, tmp_path):
+    rollup = token_counts.TokenRollup(spark, str(tmp_path / "r"))
+    row = "op string, doc_id long, source string, lang string, tokenizer string, n_tokens long"
+    make = lambda *rows: spark.createDataFrame(list(rows), row)
+    rollup.commit("1", make(("insert", None, "s", "en", "t", 5), ("insert", 1, "s", "en", "t", 7), ("insert", 1, "s", "en", "t", 7), ("insert", 1, "s", "en", "t", 3)))
+    assert [tuple(r) for r in rollup.totals().collect()] == [("s", "en", "t", 2, 12)]
+    rollup.commit("2", make(("revise", None, "s", "en", "t", 1), ("delete", 1, None, None, "t", None)))
+    rollup.commit("3", make())
+    assert [tuple(r) for r in rollup.totals().collect()] == [("s", "en", "t", 1, 1)]
+
+
+def test_clashing_columns_pass_through(spark, tmp_path):
+    import corpus_pipeline
+
+    rows = [(k, f"{k} " + "the quick brown fox and the lazy dog of it all " * 3 + " ".join(f"word{k}x{j} of" for j in range(40)), "en", 42, 43, 44, "y") for k in range(8)]
+    rows += [(None, None, None, None, None, None, None), (100, "", "", 0, 0, 0, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, n_words long, score long, items long, row string")
+    spark.createDataFrame([("a", "never seen here")], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.schema == docs.schema, name
+        kept = {r["doc_id"]: tuple(r) for r in out.collect()}
+        assert all(kept.get(r[0]) == r for r in rows[:8]), name
+    with pytest.raises(ValueError, match="reserved"):
+        quality_rules.apply(docs.withColumnRenamed("items", "_quality_words"))
+
+
+def test_pipeline_against_its_stages(spark, tmp_path):
+    """run() gives what the brute-force stages leave: kept, accepted, first of each group, clean; packed without loss."""
+    import corpus_pipeline
+
+    rng = random.Random(8)
+    en = ["the", "of", "and", "river", "stone", "winter", "garden", "window", "house", "morning", "paper", "silver", "music", "yellow", "summer", "letter"]
+    draw = lambda k: " ".join(rng.choice(en) + (str(rng.randrange(999)) if rng.random() < 0.3 else "") for _ in range(k))
+    base = [draw(120) for _ in range(30)]
+    item = draw(20)
+    texts = [*base, *base[:5], base[6] + " end", "short", None, base[7] + " " + item]
+    spark.createDataFrame([(k, t, "en") for k, t in enumerate(texts)], "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([("a", item)], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    got = {r["doc_id"]: r["doc_tokens"] for r in rows}
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    good = {r["doc_id"] for r in quality_rules.apply(docs).where("kept").collect()}
+    same = components(texts)
+    want = {k for k in good if same[k][1] == k and item not in texts[k]}
+    assert set(got) == want and len(want) >= 25
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    assert got == {k: len(tokenizer.encode(texts[k], add_special_tokens=False).ids) + 1 for k in want}
+
+
+def test_repeated_windows_with_mixed_hashes(spark, monkeypatch):
+    """Equal windows are found also where other windows agree in the high bits, and beyond the places that fit in them."""
+    rng = random.Random(9)
+    text = " ".join(rng.choices([f"w{i}" for i in range(12)], k=400))
+    w = text.split()
+    at = defaultdict(list)
+    for k in range(len(w) - 2):
+        at[tuple(w[k : k + 3])].append(k)
+    want = len({k + d for places in at.values() if len(places) > 1 for k in places for d in range(3)})
+    table = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    for place in ((1 << 26) - 1, (1 << 62) - 1, 7):  # no high bits to tell windows apart; places that don't fit
+        monkeypatch.setattr(quality_rules, "PLACE", place)
+        assert quality_rules.apply(table).first()["n_repeat_words"] == want
+
+
+def test_plain_kneser_ney(spark):
+    """The interpolated probabilities of the tables against a plain recursion."""
+    import numpy as np
+    import pyarrow as pa
+
+    texts = {"xx": ["kala maito talo", "puu kala kala"], "yy": ["brot schiff", "zwei brot brot x"]}
+    counts = {}
+    for label, group in texts.items():
+        codes, offsets = language_id.code_points(pa.array(group, pa.large_string()))
+        counts[label] = np.unique(language_id.grams(codes, offsets), return_counts=True)
+    model = language_id.build(counts)
+    alphabet = {c for group in texts.values() for t in group for c in t} | {""}
+
+    def grams(text, order):
+        return [tuple(text[i - k] if i >= k else "" for k in range(order - 1, -1, -1)) for i in range(len(text))]
+
+    def probability(label, gram):
+        order = len(gram)
+        if not order:
+            return 1 / len(alphabet)
+        if order == language_id.ORDER:
+            found = Counter(g for t in texts[label] for g in grams(t, order))
+        else:
+            found = Counter(g[-order:] for g in {g for t in texts[label] for g in grams(t, order + 1)})
+        once, two = (sum(n == k for n in found.values()) for k in (1, 2))
+        discount = min(0.95, max(0.05, once / max(1, once + 2 * two)))
+        total = sum(n for g, n in found.items() if g[:-1] == gram[:-1])
+        if not total:
+            return probability(label, gram[1:])
+        types = sum(g[:-1] == gram[:-1] for g in found)
+        return max(found[gram] - discount, 0) / total + discount * types / total * probability(label, gram[1:])
+
+    for text in ("kala", "brot maito", "talo zwei puu"):
+        bits, size = language_id.cross_entropy(model, pa.array([text], pa.large_string()))
+        for k, label in enumerate(model.labels):
+            want = -sum(log(probability(label, g)) for g in grams(text, language_id.ORDER)) / len(text) / log(2)
+            assert size[0] == len(text) and bits[0, k] == pytest.approx(want, abs=1e-4)
+
+
+def test_many_labels_and_rare_grams(spark):
+    """No label and no n-gram of the sample is left out."""
+    rows = [(k, f"{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}q" * 6, f"l{k % 600}") for k in range(1200)]
+    model = language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), per_label=10**6)
+    assert len(model.labels) == 600
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string, lang string")
     assert jaccard_join.link(none, Workspace(spark, "t")).count() == 0
