@@ -10,15 +10,20 @@ from tallyframe.llm import decontaminate, jaccard_join, language_id, packing, qu
 from tallyframe.llm.work import Workspace
 
 
+def _wrapped(docs: DataFrame, *columns: str) -> DataFrame:
+    """The rows as one column, beside those that an operator needs, so that its columns can't replace theirs."""
+    return docs.select(F.struct("*").alias("_document"), *columns)
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the threshold table keeps."""
-    return quality_rules.apply(docs).where("kept").select(*docs.columns)
+    return quality_rules.apply(_wrapped(docs, "text")).where("kept").select("_document.*")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that read as one of the languages that the stage's own labels teach."""
     model = language_id.train(docs.select("doc_id", "text", "lang"))
-    return docs if model is None else language_id.predict(docs, model).where("accepted").select(*docs.columns)
+    return docs if model is None else language_id.predict(_wrapped(docs, "text"), model).where("accepted").select("_document.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,9 +32,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Rows whose doc_id is null or repeated can't be told apart by it; a table with such rows is numbered first.
     """
     work = Workspace(spark, "near-duplicates")
-    columns, key = docs.columns, "doc_id"
+    columns, key, number = docs.columns, "doc_id", "_near_duplicates_row"
     if not docs.groupBy("doc_id").count().where("doc_id IS NULL OR count > 1").isEmpty():
-        docs, key = work.save(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered"), "_row"
+        docs, key = work.save(docs.withColumn(number, F.monotonically_increasing_id()), "numbered"), number
     linked = jaccard_join.link(docs, work, key=key)
     others = linked.where("doc_id <> component_id").select(F.col("doc_id").alias(key))
     return docs.join(others, key, "left_anti").select(*columns)
@@ -37,8 +42,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth is benchmark text."""
-    found = decontaminate.find(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return found.where(~decontaminate.contaminated()).select(*docs.columns)
+    found = decontaminate.find(_wrapped(docs, "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.where(~decontaminate.contaminated()).select("_document.*")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
