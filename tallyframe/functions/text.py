@@ -3,21 +3,23 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Fixed value: characters that a licence for punctuation removes.
-PUNCTUATION = r"[-_./\\]"
-#: Fixed value: a number with optional sign, currency, brackets and thousands separators.
-NUMBER = r"(?U)^\s*(?:\(\s*[$£€]?\s*(?:[\d,]+(?:\.\d+)?|\.\d+)\s*\)|[-+]?\s*[$£€]?\s*(?:[\d,]+(?:\.\d+)?|\.\d+))\s*$"
+#: Fixed value: a number with optional sign, currency, brackets and thousands separators. Sign and currency stand together.
+NUMBER = r"(?U)^\s*(?:\(\s*[$£€]?[\d,]*\.?\d+\s*\)|[-+]?[$£€]?\s*[\d,]*\.?\d+)\s*$"
+#: Decimal digits of all scripts in the basic plane, by their value.
+DIGITS = [(chr(c), str(unicodedata.decimal(chr(c)))) for c in range(128, 0x10000) if unicodedata.category(chr(c)) == "Nd"]
 
 
 def to_number(cell: Column) -> Column:
     """A cell's number as a double; null for anything that isn't one. Brackets mean negative."""
-    digits = F.regexp_replace(cell, r"(?U)[^\d.]", "").try_cast("double")
-    negative = F.regexp_like(cell, F.lit(r"^[\s\xA0]*[(-]"))
+    plain = F.translate(cell, "".join(d for d, _ in DIGITS), "".join(v for _, v in DIGITS))
+    digits = F.regexp_replace(plain, r"[^0-9.]", "").try_cast("double")
+    negative = F.regexp_like(cell, F.lit(r"(?U)^\s*[(-]"))
     return F.when(F.regexp_like(cell, F.lit(NUMBER)), F.when(negative, -digits).otherwise(digits))
 
 
@@ -34,9 +36,9 @@ def norm_header(text: Column, prefixes: Sequence[str] = ()) -> Column:
     return out
 
 
-def fold_member(text: Column) -> Column:
-    """Members that differ only in punctuation or case fold to the same text."""
-    return F.lower(F.regexp_replace(collapse(text), PUNCTUATION, ""))
+def is_blank(text: Column) -> Column:
+    """Null, or white space of any kind alone."""
+    return text.isNull() | (F.regexp_replace(text, r"(?U)\s+", "") == "")
 
 
 def row_key(*columns: str) -> Column:

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.functions.text import to_number
+from tallyframe.functions.text import is_blank, to_number
 
 FILE = "source_file"
 #: What rows that the format lacks look like.
@@ -70,7 +70,7 @@ def is_total(outline: Column, others: Sequence[Column], labels: Sequence[str]) -
     """A total word in the outline column with every other dimension blank."""
     out = F.coalesce(outline.rlike(total_pattern(labels)), F.lit(False))
     for o in others:
-        out = out & (F.trim(F.coalesce(o, F.lit(""))) == "")
+        out = out & is_blank(o)
     return out
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.functions.text import fold_member
+from tallyframe.functions.members import member_key
 from tallyframe.plans.report import HIGH, OK, OVERRIDDEN, findings
 
 #: Fixed value: what a level holds that a report may lack.
@@ -15,7 +15,12 @@ OVERRIDDEN_VALUE = "NA - Overridden"
 
 
 def totals_against_leaves(leaves: DataFrame, totals: DataFrame, period: str, value: str, tolerance: float) -> DataFrame:
-    """Periods where a file's leaf sum and its own total differ by more than ``tolerance``, or one is missing."""
+    """Periods where a file's leaf sum and its own total differ by more than ``tolerance``, or one is missing.
+
+    Rows with is_leaf false, the parents of an outline, aren't added: their leaves are.
+    """
+    if "is_leaf" in leaves.columns:
+        leaves = leaves.where("is_leaf")
     sums = leaves.where(F.col(period).isNotNull()).groupBy("source_file", period).agg(F.sum(value).alias("leaf_sum"))
     both = sums.join(totals.select("source_file", period, "total"), ["source_file", period], "full_outer")
     off = F.col("leaf_sum").isNull() | F.col("total").isNull() | (F.abs(F.col("leaf_sum") - F.col("total")) > tolerance)
@@ -23,15 +28,15 @@ def totals_against_leaves(leaves: DataFrame, totals: DataFrame, period: str, val
 
 
 def null_levels(facts: DataFrame, levels: Sequence[str]) -> DataFrame:
-    """Declared levels that hold nulls, with how many. One pass."""
-    counts = facts.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in levels])
-    rows = counts.select(F.inline(F.array(*[F.struct(F.lit(c).alias("level"), F.col(f"`{c}`").alias("n_null")) for c in levels])))
+    """(source_file, level, n_null): declared levels of a file that hold nulls, with how many. One pass."""
+    counts = facts.groupBy("source_file").agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in levels])
+    rows = counts.select("source_file", F.inline(F.array(*[F.struct(F.lit(c).alias("level"), F.col(f"`{c}`").alias("n_null")) for c in levels])))
     return rows.where("n_null > 0").withColumns({"method": F.lit("dimension_null"), "review_priority": F.lit("HIGH")})
 
 
 def near_duplicates(members: DataFrame) -> DataFrame:
-    """(level, folded, members): members of a level that differ in punctuation or case only."""
-    distinct = members.where("member IS NOT NULL").select("level", "member").distinct().withColumn("folded", fold_member(F.col("member")))
+    """(level, folded, members): members of a level that differ in punctuation, case or form (NFKC) only."""
+    distinct = members.where("member IS NOT NULL").select("level", "member").distinct().withColumn("folded", member_key(F.col("member"), True, True))
     groups = distinct.groupBy("level", "folded").agg(F.array_sort(F.collect_set("member")).alias("m"))
     return groups.where(F.size("m") > 1).select("level", "folded", F.array_join("m", ", ").alias("members"))
 

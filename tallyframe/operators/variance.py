@@ -3,7 +3,7 @@
 Everything is a conditional sum over the tagged union of both streams, so a key is shuffled once, after map-side partial
 sums, and a stream with most of the rows of a key is no more than one partial row for each task. One-sided keys keep their
 full amount (the missing side counts as zero) in both shapes. Keys with a null level are left out of sums and are listed
-by ``seam_check``, which treats nulls as equal.
+by ``seam_check``, which treats nulls as equal. Sums keep the kind of the values: whole numbers, decimals or doubles.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ def _whole_keys(facts: DataFrame) -> DataFrame:
 
 
 def _side(measure: str) -> Column:
-    return F.coalesce(F.sum(F.when(F.col(STREAM) == measure, F.col(VALUE))), F.lit(0)).cast("long")
+    return F.coalesce(F.sum(F.when(F.col(STREAM) == measure, F.col(VALUE))), F.lit(0))
 
 
 def percent(part: Column, whole: Column) -> Column:
@@ -46,7 +46,7 @@ def compiled(facts: DataFrame) -> DataFrame:
     rest = [F.when(F.grouping(c) == 1, "").otherwise(c).alias(n) for n, c in zip(KEY[1:], _cols(KEY[1:]), strict=True)]
     grain = _whole_keys(real_periods(facts)).groupBy(*_cols(KEY)).agg(_side("Budget").alias("b"), _side("Cost").alias("c"))
     both = grain.groupingSets([_cols(KEY), []], *_cols(KEY)).agg(
-        F.coalesce(F.sum("b"), F.lit(0)).cast("long").alias("Budget"), F.coalesce(F.sum("c"), F.lit(0)).cast("long").alias("Cost"), first.alias("_first"), *[c.alias(f"_{k}") for k, c in enumerate(rest)]
+        F.coalesce(F.sum("b"), F.lit(0)).alias("Budget"), F.coalesce(F.sum("c"), F.lit(0)).alias("Cost"), first.alias("_first"), *[c.alias(f"_{k}") for k, c in enumerate(rest)]
     )
     variance = F.col("Budget") - F.col("Cost")
     return both.select(
@@ -71,14 +71,16 @@ def periods(facts: DataFrame, most: int = 1000) -> list[str]:
     rows = period_order(facts).orderBy("ord", PERIOD).limit(most + 1).collect()
     if len(rows) > most:
         raise ValueError(f"more than {most} periods")
+    if bad := [r[0] for r in rows if r["ord"] is None]:
+        raise ValueError(f"periods without a number: {bad}")
     return [r[0] for r in rows]
 
 
 def stacked(facts: DataFrame, labels: Sequence[str]) -> DataFrame:
     """Three rows for each key (Budget, Cost, Variance) with a column for each label and TOTAL; absent amounts are 0."""
     facts = _whole_keys(real_periods(facts)).where(F.col(PERIOD).isin(*labels))
-    sums = [F.coalesce(F.sum(F.when((F.col(STREAM) == m) & (F.col(PERIOD) == p), F.col(VALUE))), F.lit(0)).cast("long").alias(f"{m}|{p}") for m in MEASURES[:2] for p in labels]
-    wide = facts.groupBy(*_cols(KEY)).agg(*sums)
+    sums = [F.coalesce(F.sum(F.when((F.col(STREAM) == m) & (F.col(PERIOD) == p), F.col(VALUE))), F.lit(0)).alias(f"{m}|{p}") for m in MEASURES[:2] for p in labels]
+    wide = facts.groupBy(*_cols(KEY)).agg(*sums) if sums else facts.select(*_cols(KEY)).distinct()
 
     def amounts(measure: str) -> list[Column]:
         if measure == "Variance":
@@ -88,13 +90,34 @@ def stacked(facts: DataFrame, labels: Sequence[str]) -> DataFrame:
     rows = []
     for m in MEASURES:
         cells = amounts(m)
-        total = cells[0]
-        for c in cells[1:]:
-            total = total + c
+        total = sum(cells[1:], cells[0]) if cells else F.lit(0)
         rows.append(F.struct(F.lit(m).alias("Measure"), *[c.alias(p) for p, c in zip(labels, cells, strict=True)], total.alias("TOTAL")))
     return wide.select(*_cols(KEY), F.inline(F.array(*rows)))
 
 
+def in_order(stacked_rows: DataFrame) -> DataFrame:
+    """Stacked rows by key, Budget before Cost before Variance: a range sort, for output."""
+    return stacked_rows.orderBy(*_cols(KEY), "Measure")
+
+
+def strict(facts: DataFrame, labels: Sequence[str]) -> DataFrame:
+    """``stacked`` as the two pivots would be aligned: a one-sided key has no row for the absent stream, null variances and 0 as their TOTAL."""
+    rows = stacked(facts, labels).join(seam_check(_whole_keys(real_periods(facts))), list(KEY), "left")
+    one = F.col("present_in").isNotNull()
+    absent = one & F.col("Measure").isin("Budget", "Cost") & ~F.col("present_in").startswith(F.col("Measure"))
+    rows = rows.where(~absent)
+    gone = one & (F.col("Measure") == "Variance")
+    cells = [F.when(~gone, F.col(f"`{p}`")).alias(p) for p in labels]
+    return rows.select(*_cols(KEY), "Measure", *cells, F.when(gone, 0).otherwise(F.col("TOTAL")).alias("TOTAL"))
+
+
+def headline_text(totals: DataFrame) -> DataFrame:
+    """The headline as text: Budget, Cost, Variance and the percentage with its sign."""
+    share = F.concat(F.when(F.col("VarPct") >= 0, "+").otherwise(""), F.format_number("VarPct", 1), F.lit("%"))
+    shown = F.concat(*[x for m in MEASURES for x in (F.lit(("" if m == "Budget" else "  ") + f"{m} "), money(F.col(m)))], F.lit(" ("), share, F.lit(")"))
+    return totals.select(shown.alias("headline"))
+
+
 def seam_check(facts: DataFrame) -> DataFrame:
     """Keys that only one stream has, with that stream as present_in; nulls are equal to each other."""
     sides = facts.where(F.col(STREAM).isin("Cost", "Budget")).groupBy(*_cols(KEY)).agg(F.min(STREAM).alias("a"), F.max(STREAM).alias("b"))

@@ -14,6 +14,8 @@ from tallyframe.plans.staged import KEY, PERIOD, STREAM, VALUE
 
 #: Fixed window of the report.
 WINDOW = ("FY1995", "FY1996", "FY1997", "FY1998")
+#: All periods of the star tables, for the SQL.
+YEARS = (*WINDOW, "FY1999", "FY2000", "FY2001")
 
 
 def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,7 +30,7 @@ def variance_stacked(spark, sf_dir):
     facts = _facts(spark, sf_dir)
     # The labels are asked of the orders alone: the join can't add one.
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.concat(F.lit("FY"), F.year("o_orderdate")).alias(PERIOD))
-    return variance.stacked(facts, variance.periods(orders)).select(*[F.col(f"`{c}`") for c in KEY], "Measure", *WINDOW, "TOTAL")
+    return variance.stacked(facts, variance.periods(orders))
 
 
 def variance_window(spark, sf_dir):
@@ -103,7 +105,7 @@ def recon_gate(spark, sf_dir):
 
 
 def dimension_gate(spark, sf_dir):
-    facts = _facts(spark, sf_dir).withColumn("Project", F.expr("nullif(Project, 'Brand#11')"))
+    facts = _facts(spark, sf_dir).withColumns({"Project": F.expr("nullif(Project, 'Brand#11')"), "source_file": F.concat(F.lower(STREAM), F.lit(".parquet"))})
     return reconcile.null_levels(facts, KEY)
 
 
@@ -123,8 +125,11 @@ def lineage(spark, sf_dir):
 
 
 def blank_fill(spark, sf_dir):
-    rows = _outline(spark, sf_dir).withColumn("label", F.when(F.col("r") % 2 == 0, F.col("label")))
-    return outline.fill_repeats(rows, "label").select("r", "label", "filled")
+    rows = _outline(spark, sf_dir)
+    code = F.when(F.col("r") % 5 < 3, F.concat(F.lit("c"), F.col("r").cast("string"))).when(F.col("r") % 5 == 3, F.lit(" \u00a0"))
+    rows = rows.withColumns({"code": code, "label": F.when(F.col("r") % 2 == 0, F.col("label"))})
+    out = outline.fill_blanks(rows, ["label", "code"])
+    return out.select("r", "label", "code", F.array_join("filled", ",").alias("filled"), F.array_join("missing", ",").alias("missing"))
 
 
 QUERIES = (
@@ -154,7 +159,7 @@ def _stack(all_periods: bool) -> str:
     where = "" if all_periods else " WHERE \"FiscalYear\" IN (" + ", ".join(f"'{p}'" for p in WINDOW) + ")"
     out = []
     for m, one in (("Budget", _B), ("Cost", _C), ("Variance", f"({_B} - {_C})")):
-        cells = [(one.replace("FILTER (", f"FILTER (\"FiscalYear\" = '{p}' AND ")) + f' AS "{p}"' for p in WINDOW]
+        cells = [(one.replace("FILTER (", f"FILTER (\"FiscalYear\" = '{p}' AND ")) + f' AS "{p}"' for p in (YEARS if all_periods else WINDOW)]
         out.append(f"SELECT {_KEY}, '{m}' AS \"Measure\", {', '.join(cells)}, {one} AS \"TOTAL\" FROM f{where} GROUP BY {_KEY}")
     return _F + " UNION ALL ".join(out)
 
@@ -192,10 +197,17 @@ SELECT 'Project' AS level, lower(replace(member, '-', '')) AS folded, string_agg
 UNION ALL SELECT l_orderkey, 'tax', count(*) FROM lineitem WHERE l_tax <> 0 GROUP BY l_orderkey""",
         "recon_gate": _F + """SELECT meta_report_type AS source_file, "FiscalYear", sum("Value")::BIGINT AS leaf_sum, (sum("Value") - 5)::BIGINT AS total, 'reconciliation_mismatch' AS method, 'HIGH' AS review_priority
 FROM f WHERE "FiscalYear" = 'FY1996' GROUP BY ALL""",
-        "dimension_gate": _F + "SELECT 'Project' AS level, count(*) AS n_null, 'dimension_null' AS method, 'HIGH' AS review_priority FROM f WHERE \"Project\" = 'Brand#11' HAVING count(*) > 0",
+        "dimension_gate": _F + "SELECT lower(meta_report_type) || '.parquet' AS source_file, 'Project' AS level, count(*) AS n_null, 'dimension_null' AS method, 'HIGH' AS review_priority FROM f WHERE \"Project\" = 'Brand#11' GROUP BY 1",
         "parent_leaf": _OUTLINE + "SELECT r, label, coalesce(lead(lv) OVER w > lv, false) AS is_parent, NOT coalesce(lead(lv) OVER w > lv, false) AS is_leaf FROM o WINDOW w AS (ORDER BY r)",
         "lineage": _OUTLINE + """, p AS (SELECT *, last_value(CASE WHEN lv = 0 THEN label END IGNORE NULLS) OVER (ORDER BY r) AS top FROM o)
 SELECT r, label, CASE WHEN lv = 1 THEN top END AS parent_label, CASE WHEN lv = 1 THEN top || ' > ' || label ELSE label END AS path FROM p""",
-        "blank_fill": _OUTLINE + """, b AS (SELECT r, lv, CASE WHEN r % 2 = 0 THEN label END AS l FROM o)
-SELECT r, last_value(l IGNORE NULLS) OVER w AS label, l IS NULL AND last_value(l IGNORE NULLS) OVER w IS NOT NULL AS filled FROM b WINDOW w AS (PARTITION BY lv ORDER BY r)""",
+        "blank_fill": _OUTLINE + """, b AS (
+  SELECT r, lv, CASE WHEN r % 2 = 0 THEN label END AS l, CASE WHEN r % 5 < 3 THEN 'c' || r END AS c FROM o),
+u AS (SELECT *, last_value(l IGNORE NULLS) OVER (PARTITION BY lv ORDER BY r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS ul,
+             last_value(c IGNORE NULLS) OVER (ORDER BY r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS uc FROM b),
+x AS (SELECT *, l IS NULL AS gl, l IS NULL AND c IS NULL AS gc FROM u)
+SELECT r, CASE WHEN gl THEN ul ELSE l END AS label, CASE WHEN gc THEN uc ELSE c END AS code,
+       concat_ws(',', CASE WHEN gl AND ul IS NOT NULL THEN 'label' END, CASE WHEN gc AND uc IS NOT NULL THEN 'code' END) AS filled,
+       concat_ws(',', CASE WHEN l IS NULL AND ul IS NULL THEN 'label' END, CASE WHEN c IS NULL AND (NOT gc OR uc IS NULL) THEN 'code' END) AS missing
+FROM x""",
     }
