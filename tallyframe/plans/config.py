@@ -8,6 +8,9 @@ from typing import Any
 
 from tallyframe.functions.members import key_of
 
+#: Aggregation prefixes of headers, and labels of total rows.
+PREFIXES = ("sum of", "count of", "average of", "avg of", "max of", "min of", "total of", "count distinct of")
+TOTAL_LABELS = ("grand total", "subtotal", "total")
 CLOSED, REGISTRY, OBSERVED = "closed", "registry", "observed"
 
 
@@ -44,8 +47,8 @@ class Declaration:
     review: float = 0.6
     validate_totals: bool = True
     tolerance: float = 0.01
-    prefixes: tuple[str, ...] = ("sum of", "count of", "average of", "max of", "min of")
-    total_labels: tuple[str, ...] = ("total", "grand total", "subtotal")
+    prefixes: tuple[str, ...] = PREFIXES
+    total_labels: tuple[str, ...] = TOTAL_LABELS
     blank_member: str = "(blank)"
     scan_rows: int = 12
     value_threshold: float = 0.6
