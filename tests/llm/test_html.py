@@ -42,3 +42,11 @@ def test_names_are_evidence(texts):
     long = "only here {0} " * 30
     got = texts(*[page.format(i, long.format(i)) for i in range(5)])
     assert got == [f"text {i} end {i}\n\nnotice {i}\n\n{long.format(i).strip()}" for i in range(5)]
+
+
+def test_declarations_and_deep_pages():
+    assert html_text.main_text("<p>one</p><![foo bar <p>two</p>") == "one\n\ntwo"
+    assert html_text.main_text("<p>a</p><![CDATA[x]]><p>b</p><!-- open <p>c</p>") == "a\n\nb"
+    assert html_text.main_text("<p>3<!--[if IE]><p>no<![endif]--><p>4<script>//<![CDATA[\n a>b //]]></script><p>5") == "3\n\n4\n\n5"
+    assert html_text.main_text("<div>" * 3000 + "deep" + "</div>" * 3000 + "<p>x") == "deep\n\nx"
+    assert html_text.main_text(None) == html_text.main_text("") == ""
