@@ -5,8 +5,7 @@ score under the context without its first word; a single word has count(w) / wor
 logarithms over its words.
 
 For each order the texts are exploded into n-grams (64-bit hashes). Blocks of texts add up their equal ones before they are
-shuffled by hash and sorted, and the runs of equal ones are summed to the count table of that order, in bounded memory
-(Spark's hash aggregation, in two steps over nearly distinct keys, took twice the time). The count table is joined by hash to the n-grams of the documents, and
+shuffled by hash into the count table of that order. The count table is joined by hash to the n-grams of the documents, and
 what they find is summed per document, partially before the shuffle. Frequent n-grams send a row a block to the count
 table, and in the join Spark can split them, since each is one row there. Orders are done one after the other, the join in
 ``passes`` over ranges of hashes, and what each finds is written, so that only a pass's n-grams are on disk at a time.
@@ -73,13 +72,6 @@ def _grams(block: Block, n: int) -> tuple[np.ndarray, np.ndarray]:
 HELD = 1 << 21
 
 
-def _summed(columns: list[np.ndarray]) -> list[np.ndarray]:
-    """One row for each n-gram, in the order of ``columns``: (gram, n, prefix, suffix) or (gram, n); grams are sorted."""
-    grams = columns[0]
-    first = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]])) if len(grams) else np.zeros(0, np.int64)
-    return [grams[first], np.add.reduceat(columns[1], first) if len(first) else columns[1], *(c[first] for c in columns[2:])]
-
-
 def _batch(columns: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64, copy=False)) for c in columns], ["gram", "n", "prefix", "suffix"][: len(columns)])
 
@@ -88,9 +80,13 @@ def _counted(n: int, related: bool):
     """n-grams and how often they occur in some blocks; with the (n - 1)-grams that they begin and end with if ``related``."""
 
     def merged(held: list[list[np.ndarray]]) -> list[np.ndarray]:
-        columns = [np.concatenate(c) for c in zip(*held, strict=True)]
-        order = np.argsort(columns[0])
-        return _summed([c[order] for c in columns])
+        grams, times, *others = (np.concatenate(c) for c in zip(*held, strict=True))
+        if not len(grams):
+            return [grams, times, *others]
+        order = np.argsort(grams)
+        grams = grams[order]
+        first = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
+        return [grams[first], np.add.reduceat(times[order], first), *(c[order[first]] for c in others)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -113,26 +109,6 @@ def _counted(n: int, related: bool):
     return run
 
 
-def _runs(least: int):
-    """Sums the runs of equal n-grams in sorted rows; a run may go on in the next batch. Rarer n-grams are left out."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            columns = [c.to_numpy() for c in batch.columns]
-            columns = _summed([np.concatenate(c) for c in zip(rest, columns, strict=True)] if rest else columns)
-            rest = [c[-1:] for c in columns]
-            often = np.flatnonzero(columns[1][:-1] >= least)
-            if len(often):
-                yield _batch([c[often] for c in columns])
-        if rest and rest[1][0] >= least:
-            yield _batch(rest)
-
-    return run
-
-
 def _weights(block: Block, n: int, orders: int, at: np.ndarray) -> np.ndarray:
     """How often the logarithm of each n-gram's count remains: as a word's highest order, less as the context of the next."""
     place, m = block.place[at] + n - 1, block.sizes[block.text[at]]  # of the last word
@@ -170,8 +146,9 @@ def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _counts(texts: DataFrame, n: int, least: int, related: bool = False) -> DataFrame:
     """(gram, n), and prefix and suffix if ``related``, of all n-grams of the texts that occur ``least`` times."""
     schema = "gram long, n long" + ", prefix long, suffix long" * related
-    counted = texts.select("text").mapInArrow(_counted(n, related), schema)
-    return counted.repartition("gram").sortWithinPartitions("gram").mapInArrow(_runs(least), schema)
+    more = [F.first(c).alias(c) for c in ("prefix", "suffix")] if related else []
+    counted = texts.select("text").mapInArrow(_counted(n, related), schema).repartition("gram")
+    return counted.groupBy("gram").agg(F.sum("n").alias("n"), *more).where(F.col("n") >= least)
 
 
 def score(docs: DataFrame, work: Workspace, *, orders: int = 3, least: int = 1, passes: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
