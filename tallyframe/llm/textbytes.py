@@ -7,13 +7,14 @@ test is exact for UTF-8 text: the bytes of longer code points are all 0x80 or mo
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 _BYTES = np.arange(256)
 #: Words ``[^\x20\x09-\x0D]+``.
@@ -133,3 +134,16 @@ def windows(h: np.ndarray, width: int) -> np.ndarray:
     for k in range(width):
         out = out * _R + h[k : k + n]
     return mix(out)
+
+
+def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, after which the worker gives the memory that it has freed back; idle workers would keep it beside the next steps."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return whole

@@ -26,10 +26,26 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+#: What a batch that goes to or from a Python worker has at most.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 2000, "spark.sql.execution.arrow.maxBytesPerBatch": 4 << 20}
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lets the session's batches for Python workers be no larger than ``BATCH``; each is held several times, outside of the heap.
+
+    No result depends on it.
+    """
+    for key, most in BATCH.items():
+        now = spark.conf.get(key, None)
+        if not (now and now.isdigit() and 0 < int(now) <= most):
+            spark.conf.set(key, most)
+
+
 class Workspace:
     """A folder of its own for one run of an operator."""
 
     def __init__(self, spark: SparkSession, name: str):
+        small_batches(spark)
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
