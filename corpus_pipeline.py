@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.llm import decontaminate, jaccard_join, language_id, packing, quality_rules
-from tallyframe.llm.work import Workspace
+from tallyframe.llm.work import Workspace, small_batches
 
 
 def _wrapped(docs: DataFrame, *columns: str) -> DataFrame:
@@ -22,6 +22,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that read as one of the languages that the stage's own labels teach."""
+    small_batches(spark)
     model = language_id.train(docs.select("doc_id", "text", "lang"))
     return docs if model is None else language_id.predict(_wrapped(docs, "text"), model).where("accepted").select("_document.*")
 

@@ -182,7 +182,7 @@ def find(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", window: i
             ]
             yield pa.RecordBatch.from_arrays(batch.columns + columns, batch.schema.names + added.names)
 
-    return docs.mapInArrow(shards, schema)
+    return docs.mapInArrow(tb.released(shards), schema)
 
 
 def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

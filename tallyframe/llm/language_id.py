@@ -38,6 +38,8 @@ UNKNOWN = "und"
 STEPS, MOST_BITS = 4096, 32.0
 ADDED = "lang_pred string, score double, cross_entropy double, accepted boolean"
 _SPACE = 32
+#: Bytes of text that are scored at a time; each character takes some hundred bytes for it.
+BLOCK = 1 << 18
 _letters: list[np.ndarray] = []
 
 
@@ -196,7 +198,7 @@ def _training_counts(rows: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]
                     types, n = np.unique(g[owner == label], return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array([label] * len(types), pa.string()), pa.array(types.astype(np.int64)), pa.array(n, pa.int64())], ["label", "gram", "n"])
 
-    found = rows.mapInArrow(count, "label string, gram long, n long").groupBy("label", "gram").agg(F.sum("n").alias("n"))
+    found = rows.mapInArrow(tb.released(count), "label string, gram long, n long").groupBy("label", "gram").agg(F.sum("n").alias("n"))
     kept = found.toPandas()
     out = {}
     for label, part in kept.groupby("label"):
@@ -230,7 +232,7 @@ def train(rows: DataFrame, *, key: str = "doc_id", text: str = "text", label: st
         """For each label its losses at each temperature, and how many documents have which cross-entropy under it."""
         for batch in batches:
             column, labels = tb.as_strings(batch.column("text")), np.array(batch.column("label").to_pylist(), object)
-            for lo, hi in tb.blocks(column):
+            for lo, hi in tb.blocks(column, BLOCK):
                 bits, size = cross_entropy(sent.value, column.slice(lo, hi - lo))
                 truth = np.searchsorted(model.labels, labels[lo:hi].astype(str))
                 keep = np.flatnonzero((size > 0) & np.isin(labels[lo:hi], model.labels))
@@ -240,7 +242,7 @@ def train(rows: DataFrame, *, key: str = "doc_id", text: str = "text", label: st
                     yield from _sums("loss", np.full(len(keep), k), -np.log(np.maximum(_posterior(bits, t)[rows, truth], 1e-12)))
                 yield from _sums("limit", truth * STEPS + np.minimum((bits[rows, truth] * STEPS / MOST_BITS).astype(np.int64), STEPS - 1), np.ones(len(keep)))
 
-    tested = rows.where(draw < F.col("held")).select("text", "label").mapInArrow(measure, "kind string, place long, amount double").groupBy("kind", "place").agg(F.sum("amount").alias("amount")).toPandas()
+    tested = rows.where(draw < F.col("held")).select("text", "label").mapInArrow(tb.released(measure), "kind string, place long, amount double").groupBy("kind", "place").agg(F.sum("amount").alias("amount")).toPandas()
     if not len(tested):
         return model
     losses = tested[tested["kind"] == "loss"].sort_values("place")
@@ -279,7 +281,7 @@ def predict(docs: DataFrame, model: Model | None, *, text: str = "text") -> Data
         m = sent.value
         for batch in batches:
             column = tb.as_strings(batch.column(text))
-            for lo, hi in tb.blocks(column, 2 << 20):
+            for lo, hi in tb.blocks(column, BLOCK):
                 bits, size = cross_entropy(m, column.slice(lo, hi - lo))
                 best = bits.argmin(1)
                 rows = np.arange(len(best))
@@ -289,4 +291,4 @@ def predict(docs: DataFrame, model: Model | None, *, text: str = "text") -> Data
                 new = [pa.array(label, pa.string()), pa.array(score), pa.array(lowest, mask=~some), pa.array(some & (lowest <= m.limit[best]))]
                 yield pa.RecordBatch.from_arrays(batch.slice(lo, hi - lo).columns + new, batch.schema.names + added.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tb.released(run), schema)

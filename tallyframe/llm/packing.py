@@ -134,7 +134,7 @@ def pack(docs: DataFrame, work: Workspace, tokenizer: str, *, capacity: int = 20
             yield from _with(rest, worker)
 
     done = []
-    level = work.save(docs.mapInArrow(workers, schema), "pieces0")
+    level = work.save(docs.mapInArrow(tb.released(workers), schema), "pieces0")
     base, depth = 1 << 62, 0
     while True:
         done.append(level.where("sequence_id IS NOT NULL"))
