@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tallyframe.llm import dealt
 from tallyframe.llm import textbytes as tb
 from tallyframe.llm.components import connected
 from tallyframe.llm.work import Workspace
@@ -152,16 +153,70 @@ def _met(posted: DataFrame, t: Threshold) -> DataFrame:
     return posted.join(lists.hint("shuffle_hash"), ["tier", "token"]).where(f"{t.reach()} >= least").drop("least")
 
 
+#: Nodes that are sent to all workers to find their texts.
+FEW_NODES = 100_000
+#: Tokens that a worker holds before it sends them.
+HELD = 1 << 19
+
+
+def _dealt(part: int, passes: int, places: int):
+    """Runs of tokens of one part, from (node, n, tokens), with the places that their hashes send them to."""
+
+    def sent(held: list[list[np.ndarray]]) -> pa.RecordBatch:
+        place, *columns = (np.concatenate(c) for c in zip(*held, strict=True))
+        order = np.argsort(place, kind="stable")
+        found, first = np.unique(place[order], return_index=True)
+        bounds = np.append(first, len(order))
+        return pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), *(dealt.runs(bounds, c[order]) for c in columns)], ["place", "token", "node", "n", "at"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            lists = batch.column("tokens")
+            sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
+            flat = lists.flatten().to_numpy().view(np.uint64)
+            bucket = dealt.bucket(flat, passes * places)
+            keep = np.flatnonzero((bucket >= part * places) & (bucket < (part + 1) * places))
+            row = np.repeat(np.arange(len(sizes)), sizes)[keep]
+            at = keep - (np.cumsum(sizes, dtype=np.int64) - sizes)[row]
+            place = (bucket[keep] - np.uint64(part * places)).astype(np.uint16 if places <= 1 << 16 else np.int32)
+            held.append([place, flat[keep], batch.column("node").to_numpy()[row], batch.column("n").to_numpy()[row].astype(np.int32), at.astype(np.int32)])
+            size += len(keep)
+            if size >= HELD:
+                yield sent(held)
+                held, size = [], 0
+        if size:
+            yield sent(held)
+
+    return run
+
+
+def _several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of all runs of a place, the tokens that come twice or more, with df, how often they come."""
+    c = dealt.gathered(batches, {"token": "u8", "node": "i8", "n": "i4", "at": "i4"})
+    order = np.argsort(c["token"])
+    token = c["token"][order]
+    first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])) if len(token) else order
+    df = np.diff(np.append(first, len(token)))
+    df = np.repeat(df, df)
+    keep = np.flatnonzero(df > 1)
+    for lo in range(0, len(keep), 1 << 16):
+        k = keep[lo : lo + (1 << 16)]
+        at = order[k]
+        columns = [token[k].view(np.int64), c["node"][at], c["n"][at].astype(np.int64), c["at"][at], df[k]]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["token", "node", "n", "at", "df"])
+
+
 def _shared(rows: DataFrame, work: Workspace, name: str, passes: int) -> DataFrame:
-    """``rows`` whose token is also another row's, with df, the number of its rows.
+    """(token, node, n, at, df) of the tokens of (node, n, tokens) that are also another row's; df is the number of its rows.
 
-    In passes over parts of the tokens, so that only a part of all rows is shuffled at a time.
+    In passes over parts of the tokens, so that only a part of all is shuffled at a time.
     """
-    out = None
+    out, places = None, dealt.places(work.spark)
     for part in range(passes):
-        mine = rows.where(F.pmod("token", F.lit(passes)) == part)
-        several = mine.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-        found = work.save(mine.join(several.hint("shuffle_hash"), "token"), f"{name}{part}")
+        sent = rows.select("node", "n", "tokens").mapInArrow(tb.released(_dealt(part, passes, places)), "place int, token binary, node binary, n binary, at binary")
+        found = dealt.deal(sent, places).drop("place").mapInArrow(tb.released(_several), "token long, node long, n long, at int, df long")
+        found = work.save(found, f"{name}{part}")
         work.free_shuffles()
         out = found if out is None else out.unionAll(found)
     return out
@@ -169,8 +224,12 @@ def _shared(rows: DataFrame, work: Workspace, name: str, passes: int) -> DataFra
 
 def _first_tier(signatures: DataFrame, nodes: DataFrame, work: Workspace, passes: int) -> DataFrame:
     """(token, node, n, at, df) of the tokens that several nodes have in their longest prefixes, in the order of their hashes."""
-    rows = signatures.select("node", "n", "tokens").join(nodes.select("node"), "node").select("node", "n", F.posexplode("tokens").alias("at", "token"))
-    return _shared(rows, work, "tokens", passes)
+    rows = work.save(signatures.select("node", "n", "tokens").join(nodes.select("node").hint("shuffle_hash"), "node"), "prefixes")
+    work.drop("signatures")  # the passes read the nodes' prefixes alone
+    work.free_shuffles()
+    out = _shared(rows, work, "tokens", passes)
+    work.drop("prefixes")
+    return out
 
 
 def _second_tier(texts: DataFrame, work: Workspace, passes: int) -> DataFrame:
@@ -185,7 +244,7 @@ def _second_tier(texts: DataFrame, work: Workspace, passes: int) -> DataFrame:
                 tokens = pa.LargeListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)])), pa.array(np.concatenate(sets).view(np.int64))).cast(pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([batch.column("node").slice(lo, hi - lo), pa.array(n), tokens], ["node", "n", "tokens"])
 
-    rows = work.save(texts.mapInArrow(run, "node long, n long, tokens array<long>"), "crowded").select("node", "n", F.explode("tokens").alias("token"))
+    rows = work.save(texts.mapInArrow(tb.released(run), "node long, n long, tokens array<long>"), "crowded")
     shared = _shared(rows, work, "crowd_tokens", passes)
     work.drop("crowded")
     by_node = shared.groupBy("node").agg(F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "token"))).alias("tokens"))
@@ -204,13 +263,13 @@ def link(docs: DataFrame, work: Workspace, *, percent: int = 75, crowd: int = 25
     plain = docs.groupBy("doc_id").count().where("doc_id IS NULL OR count > 1").isEmpty()
     docs = docs.withColumn("node", F.col("doc_id").cast("long") if plain and dict(docs.dtypes)["doc_id"] in ("bigint", "int") else F.xxhash64("doc_id", "text"))
     schema = StructType([docs.schema["doc_id"], *StructType.fromDDL("node long, n long, d1 long, d2 long, tokens array<long>")])
-    signatures = work.save(docs.mapInArrow(_signatures(t), schema), "signatures")
+    signatures = work.save(docs.mapInArrow(tb.released(_signatures(t)), schema), "signatures")
     classes = signatures.where("n > 0").groupBy("d1", "d2").agg(F.min("node").alias("node"), F.min("doc_id").alias("first"))
     classes = work.save(classes, "classes")
+    n_nodes = classes.count()
     keys = work.save(signatures.select("doc_id", "n", "d1", "d2"), "keys")
     once = signatures.where("n > 0") if plain else signatures.where("n > 0").dropDuplicates(["node"])
     tokens = _first_tier(once, classes, work, passes)
-    work.drop("signatures")
     texts = docs.select("node", "text") if plain else docs.select("node", "text").dropDuplicates(["node"])
     crowded = work.save(tokens.where(F.col("df") > crowd).where(f"at < {t.prefix(1)}").select("node").distinct(), "crowded_nodes")
     lists = None
@@ -237,8 +296,11 @@ def link(docs: DataFrame, work: Workspace, *, percent: int = 75, crowd: int = 25
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
         pairs = work.save(pairs, f"{name}_pairs")
-        both = pairs.join(texts.select(F.col("node").alias("v"), F.col("text").alias("text_v")), "v").join(texts.select(F.col("node").alias("u"), F.col("text").alias("text_u")), "u")
-        out = work.save(both.mapInArrow(_verify(t), "u long, v long"), f"{name}_links")
+        needed = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+        # The nodes of a late round are few: then the other texts are left out before all are shuffled.
+        mine = texts.join(F.broadcast(needed), "node", "left_semi") if needed.count() <= min(FEW_NODES, n_nodes // 4) else texts
+        both = pairs.join(mine.select(F.col("node").alias("v"), F.col("text").alias("text_v")), "v").join(mine.select(F.col("node").alias("u"), F.col("text").alias("text_u")), "u")
+        out = work.save(both.mapInArrow(tb.released(_verify(t)), "u long, v long"), f"{name}_links")
         work.free_shuffles()
         return out
 
@@ -254,11 +316,14 @@ def link(docs: DataFrame, work: Workspace, *, percent: int = 75, crowd: int = 25
         pairs = left.join(best, ["tier", "token"]).where(f"root <> c.root AND {t.meet('', 'c.')}")
         pairs = matched(pairs.select(F.least("node", "c.node").alias("u"), F.greatest("node", "c.node").alias("v"), "tier", F.least("l", "c.l").alias("l")))
         found = verified(pairs.join(tried, ["u", "v"], "left_anti"), f"star{k}")
-        tried, links = tried.unionAll(spark.read.parquet(work.path(f"star{k}_pairs"))), links.unionAll(found)
-        roots = connected(links, work, f"near{k}_")
-        labelled = lists.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        tried = tried.unionAll(spark.read.parquet(work.path(f"star{k}_pairs")))
+        roots = connected(links.unionAll(found), work, f"near{k}_")
+        links = roots.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v"))  # the same components
+        # A list that is done, or a row that finds nobody in its list, stays so: only what is left needs the new roots.
+        labelled = left.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         several = labelled.groupBy("tier", "token").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.min("n").alias("least")).where("a < b").select("tier", "token", "least")
         left = work.save(labelled.join(several, ["tier", "token"]).where(f"{t.reach()} >= least").drop("least"), f"mixed{k}")
+        work.drop(f"mixed{k - 1}" if k else "lists")
         work.free_shuffles()
         sizes = left.groupBy("tier", "token", "root").agg(F.count("*").alias("s")).groupBy("tier", "token").agg(F.sum("s").alias("s"), F.sum(F.col("s") * F.col("s")).alias("own"))
         rows, cross = sizes.agg(F.sum("s"), F.sum((F.col("s") * F.col("s") - F.col("own")) / 2)).first()
