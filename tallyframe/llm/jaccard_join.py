@@ -9,10 +9,11 @@ Each document gets its own l, a power of two. Its estimated candidate cost under
 of the others that have them, in the prefix for partners of its own size), and for each document that could share l of them, an l-th part of that sum, a verification;
 the l of the least cost is taken. Two documents use the smaller of their two l.
 
-Tokens are ordered in two tiers. The first orders them by their hash, so that only a third of all shingles is counted. Its
-posting lists of more than ``crowd`` documents are left out; instead all documents of such a list post in a second tier, over
-their whole sets, rarest tokens first, so that common passages fall to the end of the order. If two similar documents meet
-in a crowded list, both are in the second tier and meet there; if they don't, no list that they share was left out.
+Tokens are ordered in two tiers. The first orders them by their hash, so that only a third of all shingles is counted; those
+of common passages, which a sample of the texts shows, come after all others. Its posting lists of more than ``crowd``
+documents are left out; instead all documents of such a list post in a second tier, over their whole sets, rarest tokens
+first. If two similar documents meet in a crowded list, both are in the second tier and meet there; if they don't, no list
+that they share was left out. So what the sample shows or misses changes which documents need the second tier, and no result.
 
 Equal sets are one node. Large groups of near copies don't become all pairs: in rounds, each posting list is held against
 one node, the likeliest centre of a group, and a list that lies in one component is done. When the pairs that are left,
@@ -32,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -100,8 +102,17 @@ class Threshold:
         return " AND ".join(f"{x}at + {self.shared(f'{a}n', f'{b}n')} <= {x}n + least({a}l, {b}l) - 1" for x in (a, b))
 
 
-def _signatures(t: Threshold):
+def _frequent_last(s: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """A sorted set in the first tier's order; ``frequent`` is sorted too."""
+    if not len(frequent):
+        return s
+    late = frequent[np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)] == s
+    return np.concatenate([s[~late], s[late]]) if late.any() else s
+
+
+def _signatures(t: Threshold, sent: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent = sent.value
         salt = np.uint64(0xA5A5A5A5A5A5A5A5)
         for batch in batches:
             n, d1, d2, prefixes = [], [], [], []
@@ -109,7 +120,7 @@ def _signatures(t: Threshold):
                 n.append(len(s))
                 d1.append(int(tb.mix(s ^ salt).sum(dtype=np.uint64).astype(np.int64)))
                 d2.append(int((s * s + s).sum(dtype=np.uint64).astype(np.int64)))
-                prefixes.append(s[: t.long(len(s))] if len(s) else s)
+                prefixes.append(_frequent_last(s, frequent)[: t.long(len(s))] if len(s) else s)
             sizes = np.fromiter(map(len, prefixes), np.int64, len(prefixes))
             flat = np.concatenate(prefixes).view(np.int64) if prefixes else np.zeros(0, np.int64)
             tokens = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(flat))
@@ -153,6 +164,9 @@ def _met(posted: DataFrame, t: Threshold) -> DataFrame:
     return posted.join(lists.hint("shuffle_hash"), ["tier", "token"]).where(f"{t.reach()} >= least").drop("least")
 
 
+#: Tokens that are ordered last, as they are sent to all workers, and how many texts of the sample have a token of ``crowd`` texts.
+MOST_FREQUENT = 1 << 20
+DRAWN = 16
 #: Nodes that are sent to all workers to find their texts.
 FEW_NODES = 100_000
 #: Tokens that a worker holds before it sends them.
@@ -222,6 +236,44 @@ def _shared(rows: DataFrame, work: Workspace, name: str, passes: int) -> DataFra
     return out
 
 
+SETS = "node long, n long, tokens array<long>"
+
+
+def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, n, tokens) of (node, text)."""
+    for batch in batches:
+        column = tb.as_strings(batch.column("text"))
+        for lo, hi in tb.blocks(column):
+            sets = list(shingle_sets(column.slice(lo, hi - lo)))
+            n = np.fromiter(map(len, sets), np.int64, len(sets))
+            tokens = pa.LargeListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)])), pa.array(np.concatenate(sets).view(np.int64))).cast(pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("node").slice(lo, hi - lo), pa.array(n), tokens], ["node", "n", "tokens"])
+
+
+def _frequent(docs: DataFrame, work: Workspace, crowd: int) -> np.ndarray:
+    """The sorted tokens that seem to be in about ``crowd`` different texts or more, at most ``MOST_FREQUENT``.
+
+    Of every crowd / DRAWN texts one is read, chosen by its hash, so that copies count once. A token must come in 3 of 8 of
+    those that a list of ``crowd`` texts has there; in more, where too many tokens do.
+    """
+    step = max(1, crowd // DRAWN)
+    sample = docs.where(F.col("text").isNotNull() & (F.pmod(F.xxhash64("text"), F.lit(step)) == 0)).select("text").distinct()
+    sets = sample.select(F.xxhash64("text").alias("node"), "text").mapInArrow(tb.released(_whole_sets), SETS)
+    seen = _shared(sets, work, "sampled", 1).groupBy("token").agg(F.first("df").alias("df")).where(F.col("df") >= max(2, 3 * crowd // (8 * step)))
+    seen = work.save(seen, "frequent")
+    least, total = 0, 0
+    for df, count in seen.groupBy("df").count().orderBy(F.desc("df")).collect():
+        total += count
+        if total > MOST_FREQUENT:
+            break
+        least = df
+    work.drop("sampled0")
+    work.free_shuffles()
+    if not least:
+        return np.zeros(0, np.uint64)
+    return np.sort(seen.where(F.col("df") >= least).select("token").toArrow().column("token").to_numpy().view(np.uint64))
+
+
 def _first_tier(signatures: DataFrame, nodes: DataFrame, work: Workspace, passes: int) -> DataFrame:
     """(token, node, n, at, df) of the tokens that several nodes have in their longest prefixes, in the order of their hashes."""
     rows = work.save(signatures.select("node", "n", "tokens").join(nodes.select("node").hint("shuffle_hash"), "node"), "prefixes")
@@ -234,17 +286,7 @@ def _first_tier(signatures: DataFrame, nodes: DataFrame, work: Workspace, passes
 
 def _second_tier(texts: DataFrame, work: Workspace, passes: int) -> DataFrame:
     """(token, node, n, at, df) of the tokens that several of these nodes have, rarest first."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            column = tb.as_strings(batch.column("text"))
-            for lo, hi in tb.blocks(column):
-                sets = list(shingle_sets(column.slice(lo, hi - lo)))
-                n = np.fromiter(map(len, sets), np.int64, len(sets))
-                tokens = pa.LargeListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)])), pa.array(np.concatenate(sets).view(np.int64))).cast(pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([batch.column("node").slice(lo, hi - lo), pa.array(n), tokens], ["node", "n", "tokens"])
-
-    rows = work.save(texts.mapInArrow(tb.released(run), "node long, n long, tokens array<long>"), "crowded")
+    rows = work.save(texts.mapInArrow(tb.released(_whole_sets), SETS), "crowded")
     shared = _shared(rows, work, "crowd_tokens", passes)
     work.drop("crowded")
     by_node = shared.groupBy("node").agg(F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "token"))).alias("tokens"))
@@ -263,7 +305,8 @@ def link(docs: DataFrame, work: Workspace, *, percent: int = 75, crowd: int = 25
     plain = docs.groupBy("doc_id").count().where("doc_id IS NULL OR count > 1").isEmpty()
     docs = docs.withColumn("node", F.col("doc_id").cast("long") if plain and dict(docs.dtypes)["doc_id"] in ("bigint", "int") else F.xxhash64("doc_id", "text"))
     schema = StructType([docs.schema["doc_id"], *StructType.fromDDL("node long, n long, d1 long, d2 long, tokens array<long>")])
-    signatures = work.save(docs.mapInArrow(tb.released(_signatures(t)), schema), "signatures")
+    sent = work.spark.sparkContext.broadcast(_frequent(docs, work, crowd))
+    signatures = work.save(docs.mapInArrow(tb.released(_signatures(t, sent)), schema), "signatures")
     classes = signatures.where("n > 0").groupBy("d1", "d2").agg(F.min("node").alias("node"), F.min("doc_id").alias("first"))
     classes = work.save(classes, "classes")
     n_nodes = classes.count()

@@ -96,6 +96,27 @@ def test_links_of_passages_and_chains(spark, tmp_path):
     assert got == components(texts)
 
 
+def test_common_passages_need_no_second_tier(spark, monkeypatch):
+    """Texts that quote one of a few passages are not taken for a crowd, and the links are right whatever the sample shows."""
+    rng = random.Random(17)
+    draw = lambda k: rng.choices([f"p{i}" for i in range(700)], k=k)
+    passages = [draw(25) for _ in range(3)]
+    texts = [draw(rng.randrange(40, 120)) + rng.choice(passages) + draw(60) for _ in range(150)]
+    for base in texts[:20]:
+        near = list(base)
+        near[rng.randrange(len(near))] = "changed"
+        texts.append(near)
+    texts = [" ".join(x) for x in texts] + [" ".join(passages[0])] * 3 + [None, ""]
+    docs, want = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), components(texts)
+    for most in (jaccard_join.MOST_FREQUENT, 0):
+        monkeypatch.setattr(jaccard_join, "MOST_FREQUENT", most)
+        work = Workspace(spark, "t")
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.link(docs, work, crowd=16).collect()}
+        assert got == want, most
+        crowded = spark.read.parquet(work.path("crowded_nodes")).count()
+        assert crowded <= 2 if most else crowded > 100, (most, crowded)
+
+
 def test_links_of_repeated_and_null_keys(spark):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (1, "x y"), (None, "a b c d e f"), (2, None), (None, None), (3, "x  Y")]
     got = jaccard_join.link(spark.createDataFrame(rows, "doc_id long, text string"), Workspace(spark, "t")).collect()
