@@ -259,6 +259,7 @@ def _frequent(docs: DataFrame, work: Workspace, crowd: int) -> np.ndarray:
     step = max(1, crowd // DRAWN)
     sample = docs.where(F.col("text").isNotNull() & (F.pmod(F.xxhash64("text"), F.lit(step)) == 0)).select("text").distinct()
     sets = sample.select(F.xxhash64("text").alias("node"), "text").mapInArrow(tb.released(_whole_sets), SETS)
+    sets = work.save(sets, "sample")  # in one plan with the next step each task would hold two workers
     seen = _shared(sets, work, "sampled", 1).groupBy("token").agg(F.first("df").alias("df")).where(F.col("df") >= max(2, 3 * crowd // (8 * step)))
     seen = work.save(seen, "frequent")
     least, total = 0, 0
@@ -267,7 +268,8 @@ def _frequent(docs: DataFrame, work: Workspace, crowd: int) -> np.ndarray:
         if total > MOST_FREQUENT:
             break
         least = df
-    work.drop("sampled0")
+    for name in ("sample", "sampled0"):
+        work.drop(name)
     work.free_shuffles()
     if not least:
         return np.zeros(0, np.uint64)
